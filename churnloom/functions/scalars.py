@@ -83,7 +83,9 @@ def short_id(c: Column | str) -> Column:
 
 def score_bin(p: Column | str, bins: int) -> Column:
     """Index of the equal-width bin of a score in [0, 1]; 1.0 falls in the last."""
-    return F.least(F.floor(_col(p) * bins), F.lit(bins - 1))
+    score = _col(p)
+    # ``least`` skips nulls, so an unknown score would land in the last bin.
+    return F.when(score.isNotNull(), F.least(F.floor(score * bins), F.lit(bins - 1)))
 
 
 def event_time_or_now(c: Column | str) -> Column:
@@ -105,6 +107,5 @@ def ks_pvalue(stat: Column | str, n: Column | str, m: Column | str, terms: int =
         F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * x * x),
     )
-    return F.when(x < 0.2, F.lit(1.0)).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series))
-    )
+    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series))
+    return F.when(x < 0.2, F.lit(1.0)).when(x >= 0.2, clamped)

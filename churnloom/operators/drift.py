@@ -194,7 +194,7 @@ def drift_detail(drift: DataFrame, of_day: Column, day: str = "event_date") -> D
             "feature",
             "psi",
             "level",
-            F.least(F.col("psi") / 0.4, F.lit(1.0)).alias("bar"),
+            F.when(F.col("psi").isNotNull(), F.least(F.col("psi") / 0.4, F.lit(1.0))).alias("bar"),
             "ks_stat",
             "ks_pvalue",
             "ks_drift",

@@ -68,8 +68,10 @@ def best_threshold(curve: DataFrame) -> DataFrame:
 
 
 def log_loss(scored: DataFrame, label: str = fixed.LABEL, score: str = "score") -> DataFrame:
-    p = F.greatest(
-        F.lit(LOG_LOSS_CLIP), F.least(F.lit(1 - LOG_LOSS_CLIP), F.col(score).cast("double"))
+    given = F.col(score).cast("double")
+    p = F.when(
+        given.isNotNull(),
+        F.greatest(F.lit(LOG_LOSS_CLIP), F.least(F.lit(1 - LOG_LOSS_CLIP), given)),
     )
     y = F.col(label)
     return scored.agg(F.mean(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("log_loss"))

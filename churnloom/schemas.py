@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-MEMBERS = StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """Schema from "name type, ..."; unlike DDL parsing it needs no session.
+
+    A type followed by ``!`` is required.
+    """
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType(
+        [T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")) for name, kind in fields]
+    )
+
+
+MEMBERS = columns(
     "msno string, city int, bd int, gender string, registered_via int, registration_init_time int"
 )
 
-TRANSACTIONS = StructType.fromDDL(
+TRANSACTIONS = columns(
     "msno string, transaction_date int, membership_expire_date int, actual_amount_paid double,"
     " plan_list_price double, is_auto_renew int, is_cancel int"
 )
 
-USER_LOGS = StructType.fromDDL(
+USER_LOGS = columns(
     "msno string, date int, num_25 int, num_50 int, num_75 int, num_985 int, num_100 int,"
     " num_unq int, total_secs double"
 )
 
-TRAIN = StructType.fromDDL("msno string, is_churn int")
+TRAIN = columns("msno string, is_churn int")
 
 BRONZE = {
     "members": MEMBERS,
@@ -28,10 +51,10 @@ BRONZE = {
 }
 
 # One topic message: what a Kafka source gives after casting key and value.
-MESSAGE = StructType.fromDDL("topic string, key string, value string")
+MESSAGE = columns("topic string, key string, value string")
 
 # Union of the record fields of both topics plus the end-of-day control record.
-RECORD = StructType.fromDDL(
+RECORD = columns(
     "_end_of_day boolean, msno string, date string, transaction_date string,"
     " num_25 bigint, num_50 bigint, num_75 bigint, num_985 bigint, num_100 bigint, num_unq bigint,"
     " total_secs double, actual_amount_paid double, plan_list_price double,"
@@ -40,8 +63,8 @@ RECORD = StructType.fromDDL(
 
 # Streaming feature table. ``event_timestamp`` is the UTC start of the day, kept
 # zone-free so that it reads the same under every session time zone.
-FEATURE_TABLE = StructType.fromDDL(
-    "msno string NOT NULL, event_timestamp timestamp_ntz NOT NULL,"
+FEATURE_TABLE = columns(
+    "msno string!, event_timestamp timestamp_ntz!,"
     " city bigint, bd bigint, gender string, registered_via bigint,"
     " total_transactions bigint, total_amount_paid double, avg_amount_paid double,"
     " auto_renew_count bigint, cancel_count bigint, total_log_days bigint,"
@@ -49,7 +72,7 @@ FEATURE_TABLE = StructType.fromDDL(
     " total_num_75 bigint, total_num_985 bigint, total_num_100 bigint, total_num_unq bigint"
 )
 
-SCORE = StructType.fromDDL(
+SCORE = columns(
     "msno string, churn_probability double, is_churn int, member_found boolean,"
     " reasons array<string>, feature_timestamp string"
 )

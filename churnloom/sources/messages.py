@@ -24,13 +24,11 @@ def encode(records: DataFrame, topic: str, key: str = "msno") -> DataFrame:
 def markers(days: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
     """An end-of-day record per day on each topic."""
     topics = topics or [fixed.LOG_TOPIC, fixed.TRANSACTION_TOPIC]
-    control = F.struct(
-        F.lit(True).alias("_end_of_day"), F.date_format("day", "yyyy-MM-dd").alias("date")
+    control = F.named_struct(
+        F.lit("_end_of_day"), F.lit(True), F.lit("date"), F.date_format("day", "yyyy-MM-dd")
     )
-    return days.select(
-        F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"),
-        F.lit(fixed.MARKER_KEY).alias("key"),
-        F.to_json(control).alias("value"),
+    return days.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in topics]))).select(
+        "topic", F.lit(fixed.MARKER_KEY).alias("key"), F.to_json(control).alias("value")
     )
 
 

@@ -36,19 +36,19 @@ from churnloom.sources.tables import append_features, write_by_day
 
 LOGS, TRANSACTIONS, LATE, MARKER = "logs", "transactions", "late", "marker"
 
-STAGED = StructType.fromDDL(
+STAGED = schemas.columns(
     "topic string, msno string, num_25 bigint, num_50 bigint, num_75 bigint, num_985 bigint,"
     " num_100 bigint, num_unq bigint, total_secs double, actual_amount_paid double,"
     " is_auto_renew bigint, is_cancel bigint, batch bigint, kind string, day date"
 )
-FLUSHED = StructType.fromDDL("day date, seq bigint, batch bigint, user_count bigint")
-DELTA = StructType.fromDDL(
+FLUSHED = schemas.columns("day date, seq bigint, batch bigint, user_count bigint")
+DELTA = schemas.columns(
     "msno string, "
     + ", ".join(f"{c} {feature_ops._total_type(c)}" for c in feature_ops.TOTALS)
     + ", seq bigint, day date"
 )
 FEATURES = StructType(schemas.FEATURE_TABLE.fields).add("event_date", "date")
-DRIFT = StructType.fromDDL(
+DRIFT = schemas.columns(
     "feature string, psi double, level string, ks_stat double, ks_pvalue double,"
     " ks_drift boolean, event_date date"
 )
@@ -189,7 +189,7 @@ class FeatureStream:
 
     def _base(self, upto: int) -> tuple[DataFrame, int]:
         """Newest folded totals of finished flushes, else the baseline."""
-        totals = self._read("totals", StructType.fromDDL("seq bigint"))
+        totals = self._read("totals", schemas.columns("seq bigint"))
         seq = totals.where(F.col("seq") <= upto).agg(F.max("seq")).first()[0]
         if seq is None:
             return self.baseline, 0
