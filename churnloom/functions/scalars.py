@@ -13,9 +13,19 @@ def _col(c: Column | str) -> Column:
 
 
 def day_from_int(c: Column | str) -> Column:
-    """Integer ``yyyyMMdd`` to date; an impossible day gives null, not a failed job."""
-    digits = _col(c).cast("string")
-    return F.when(F.length(digits) == 8, F.try_to_date(digits, "yyyyMMdd"))
+    """Integer ``yyyyMMdd`` to date; an impossible day gives null, not a failed job.
+
+    Integer arithmetic: no text is built and parsed per row.
+    """
+    number = _col(c)
+    year = F.floor(number / 10000).cast("int")
+    month = (F.floor(number / 100) % 100).cast("int")
+    day = (number % 100).cast("int")
+    first = F.when(
+        number.between(10000101, 99991231) & month.between(1, 12),
+        F.make_date(year, month, F.lit(1)),
+    )
+    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def day_from_text(c: Column | str) -> Column:
@@ -28,6 +38,18 @@ def day_start(c: Column | str) -> Column:
     return _col(c).cast("timestamp_ntz")
 
 
+def utc_instant(c: Column | str) -> Column:
+    """Instant of a zone-free UTC wall time, under any session time zone."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(c))
+    return local.cast("timestamp")
+
+
+def utc_wall_time(c: Column | str) -> Column:
+    """Zone-free UTC wall time of an instant."""
+    local = _col(c).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+
+
 def valid_age(c: Column | str) -> Column:
     """Age kept only inside 1..100."""
     age = _col(c)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.functions.running import running_sums
+from churnloom.session import stored
 
 
 def long_features(
@@ -96,32 +97,50 @@ def drift_psi(
 ) -> DataFrame:
     """(day, feature, psi) for every day and feature with at least one value.
 
-    Values outside the baseline range are not counted unless ``open_ends`` puts
-    them into the end bins.
+    ``baseline_bins`` is the (stored) result of ``drift_baseline``. Values outside
+    the baseline range are not counted unless ``open_ends`` puts them into the
+    end bins. The current rows are read once and shuffled as bin counts.
     """
-    ranges = baseline_bins.select("feature", "low", "high").distinct()
-    long = long_features(current, [day])
+    one_per_feature = baseline_bins.groupBy("feature").agg(
+        F.first("low").alias("low"),
+        F.first("high").alias("high"),
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("bin", "ref_count"))), lambda x: x["ref_count"]
+        ).alias("ref"),
+    )
+    # One row per feature, at most 14, hence the broadcasts.
+    small = F.broadcast(one_per_feature)
+    value = F.col("value")
     if open_ends:
-        inside = F.greatest(F.col("low"), F.least(F.col("high"), F.col("value")))
-        long = long.join(F.broadcast(ranges), "feature").select(
-            day, "feature", inside.alias("value")
-        )
-    present = long.groupBy(day, "feature").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    counts = _bin_counts(long, ranges, bins, "cur_count", [day])
-    # (days x features) rows by the ten bins of the feature.
-    grid = present.join(F.broadcast(baseline_bins.select("feature", "bin", "ref_count")), "feature")
-    filled = grid.join(counts, [day, "feature", "bin"], "left").withColumn(
-        "cur_count", S.zero_if_null("cur_count")
-    )
-    whole = Window.partitionBy(day, "feature")
-    eps = F.lit(fixed.PSI_EPSILON)
+        value = F.greatest(F.col("low"), F.least(F.col("high"), value))
+    placed = long_features(current, [day]).join(small.select("feature", "low", "high"), "feature")
+    counted = (
+        placed.select(day, "feature", _bin_of(value, F.col("low"), F.col("high"), bins).alias("bin"))
+        .groupBy(day, "feature", "bin")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = F.filter(F.collect_list(F.struct("bin", "n")), lambda x: x["bin"].isNotNull())
+    per_feature = counted.groupBy(day, "feature").agg(F.map_from_entries(inside).alias("by_bin"))
+    cur = F.transform(
+        F.sequence(F.lit(0), F.lit(bins - 1)).cast("array<bigint>"),
+        lambda i: S.zero_if_null(F.try_element_at("by_bin", i)),
+    )
+    shares = per_feature.join(small.select("feature", "ref"), "feature").select(
+        day, "feature", _shares(F.col("ref")).alias("r"), _shares(cur).alias("c")
+    )
+    terms = F.zip_with("r", "c", lambda r, c: (c - r) * F.ln(c / r))
+    return shares.select(day, "feature", _array_sum(terms).alias("psi"))
+
 
-    def share(c: str) -> Column:
-        return F.greatest(F.col(c) / (F.sum(c).over(whole) + eps), eps)
+def _array_sum(values: Column) -> Column:
+    return F.aggregate(values.cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x)
 
-    shares = filled.select(day, "feature", share("ref_count").alias("r"), share("cur_count").alias("c"))
-    term = (F.col("c") - F.col("r")) * F.ln(F.col("c") / F.col("r"))
-    return shares.groupBy(day, "feature").agg(F.sum(term).alias("psi"))
+
+def _shares(counts: Column) -> Column:
+    """Counts as shares that are never below epsilon."""
+    eps = F.lit(fixed.PSI_EPSILON)
+    total = _array_sum(counts) + eps
+    return F.transform(counts, lambda n: F.greatest(n / total, eps))
 
 
 def drift_ks(baseline: DataFrame, current: DataFrame, day: str = "event_date") -> DataFrame:
@@ -157,7 +176,7 @@ def drift_table(baseline: DataFrame, current: DataFrame, day: str = "event_date"
 
     The flag uses the unrounded p-value, so a value near 0 counts as drift.
     """
-    psi = drift_psi(drift_baseline(baseline), current, day)
+    psi = drift_psi(stored(drift_baseline(baseline), "bins"), current, day)
     ks = drift_ks(baseline, current, day).withColumn(
         "ks_pvalue", S.ks_pvalue("ks_stat", "ref_n", "cur_n")
     )

@@ -669,7 +669,7 @@ def drift_baseline(w: Workspace) -> DataFrame:
 
 @query
 def drift_psi(w: Workspace) -> DataFrame:
-    return drift_ops.drift_psi(drift_ops.drift_baseline(w.baseline()), w.feature_table())
+    return drift_ops.drift_psi(w.baseline_bins(), w.feature_table())
 
 
 @query
@@ -734,14 +734,14 @@ def stream_daily(w: Workspace) -> DataFrame:
         w.spark.readStream.schema(w.table("events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(w.sf_dir)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+        .withColumn("ts", S.utc_instant("ts"))
     )
     run = aggregates.keep_updates(
         aggregates.daily_activity(events), f"{root}/rows", f"{root}/checkpoint"
     )
     run.awaitTermination()
     newest = aggregates.newest_updates(w.spark, f"{root}/rows", ["day_start", "user_id"])
-    return newest.withColumn("day_start", F.to_date("day_start"))
+    return newest.withColumn("day_start", F.to_date(S.utc_wall_time("day_start")))
 
 
 @query

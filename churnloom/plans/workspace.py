@@ -92,6 +92,9 @@ class Workspace(Adapter):
             "latest", lambda: stored(lookup.latest_rows(self.feature_table().select(*columns)), "latest")
         )
 
+    def baseline_bins(self) -> DataFrame:
+        return self._once("bins", lambda: stored(drift.drift_baseline(self.baseline()), "bins"))
+
     def drift(self) -> DataFrame:
         return self._once(
             "drift", lambda: stored(drift.drift_table(self.baseline(), self.feature_table()), "drift")

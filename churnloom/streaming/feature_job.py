@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from churnloom import fixed, schemas
 from churnloom.operators import days as D
@@ -47,7 +47,7 @@ DELTA = schemas.columns(
     + ", ".join(f"{c} {feature_ops._total_type(c)}" for c in feature_ops.TOTALS)
     + ", seq bigint, day date"
 )
-FEATURES = StructType(schemas.FEATURE_TABLE.fields).add("event_date", "date")
+FEATURES = StructType([*schemas.FEATURE_TABLE.fields, StructField("event_date", DateType())])
 DRIFT = schemas.columns(
     "feature string, psi double, level string, ks_stat double, ks_pvalue double,"
     " ks_drift boolean, event_date date"
@@ -115,7 +115,7 @@ class FeatureStream:
         return lookup.last_seen(self.features())
 
     def latest(self) -> DataFrame | None:
-        seq = self._last_seq()
+        seq = self._last_seq() if self.keep_latest else 0
         return self.spark.read.parquet(self._path(f"latest/seq={seq}")) if seq else None
 
     def _last_seq(self) -> int:
