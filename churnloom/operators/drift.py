@@ -105,7 +105,7 @@ def drift_psi(
         F.first("low").alias("low"),
         F.first("high").alias("high"),
         F.transform(
-            F.array_sort(F.collect_list(F.struct("bin", "ref_count"))), lambda x: x["ref_count"]
+            F.sort_array(F.collect_list(F.struct("bin", "ref_count"))), lambda x: x["ref_count"]
         ).alias("ref"),
     )
     # One row per feature, at most 14, hence the broadcasts.

@@ -117,15 +117,15 @@ def users_page(
 
 
 def _falling(contributions: Column, size: Callable[[Column], Column]) -> Column:
-    """Sorted by falling size, then by feature name; natural order of structs is
-    much faster than a comparison function."""
+    """Sorted by falling size, then by feature name; ``sort_array`` on structs runs
+    without a comparison function per pair."""
     keyed = F.transform(
         contributions,
         lambda x: F.struct(
             (-size(x)).alias("key"), x["feature"].alias("feature"), x["value"].alias("value")
         ),
     )
-    return F.array_sort(keyed)
+    return F.sort_array(keyed)
 
 
 def ranked_contributions(explained: DataFrame, limit: int | None = None) -> DataFrame:

@@ -112,7 +112,7 @@ def bucket_quantile(buckets: DataFrame, q: float, by: Sequence[str] = ()) -> Dat
     A rank in the open last bucket gives the highest finite bound. ``buckets``
     has a fixed number of rows per label, so each array here is that short.
     """
-    rows = F.array_sort(F.collect_list(F.struct("le", "cumulative"))).alias("b")
+    rows = F.sort_array(F.collect_list(F.struct("le", "cumulative"))).alias("b")
     grouped = buckets.groupBy(*by).agg(rows)
     total = F.element_at("b", -1)["cumulative"]
     rank = F.lit(q) * total

@@ -564,7 +564,8 @@ def score_users(w: Workspace) -> DataFrame:
 @query
 def shap_values(w: Workspace) -> DataFrame:
     explained = scoring.explain_users(_customers(w), w.latest(), w.artefacts())
-    return explained.select("msno", "base_value", F.inline("contributions"))
+    # An outer generator: the plain one adds a filter that ranks each row again.
+    return explained.select("msno", "base_value", F.inline_outer("contributions"))
 
 
 @query
@@ -587,7 +588,7 @@ def top_reasons(w: Workspace) -> DataFrame:
 @query
 def shap_ranked(w: Workspace) -> DataFrame:
     ranked = reports.ranked_contributions(w.contributions(), 8)
-    return ranked.select("msno", F.posexplode("contributions").alias("pos", "c")).select(
+    return ranked.select("msno", F.posexplode_outer("contributions").alias("pos", "c")).select(
         "msno", "pos", "c.feature", "c.value", "c.magnitude"
     )
 
