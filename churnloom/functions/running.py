@@ -1,8 +1,8 @@
 """Exact running sums over an order that may not fit one task.
 
 A window without (or with a coarse) partition key sorts everything in one task.
-Long inputs are therefore cut into key ranges first; each range is summed on its
-own and gets the total of the ranges before it.
+Here the rows are range-partitioned by the whole key first; each range is summed
+on its own and gets the total of the ranges before it.
 """
 
 from __future__ import annotations
@@ -10,36 +10,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnloom.session import stored
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 512
-
 
 def running_sums(
     rows: DataFrame,
     order: str,
     measures: Sequence[str],
     groups: Sequence[str] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
-    max_ranges: int = MAX_RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<m>`` (up to and including the row) and ``all_<m>`` per group.
 
     ``rows`` holds one row per (groups, order): aggregate repeated keys before
-    the call, which also keeps a key with a large share of the input small. The
-    aggregate is stored once, since its size decides how it is cut.
+    the call, which also keeps a key with a large share of the input small.
+    Adaptive execution sizes the ranges unless their number is given. The number
+    of a row's range is written with it, so all later steps, and steps that are
+    repeated after a lost executor, see the same ranges.
     """
     groups = list(groups)
-    rows = stored(rows, "running")
-    count = rows.count()
-    if count <= rows_per_range:
-        return _one_level(rows, order, measures, groups)
-    stride = max(rows_per_range, -(-count // max_ranges))
-    return _by_range(rows, order, measures, groups, stride)
+    key = [*groups, order]
+    split = rows.repartitionByRange(ranges, *key) if ranges else rows.repartitionByRange(*key)
+    placed = stored(split.withColumn("_range", F.spark_partition_id()), "running")
+    last = placed.agg(F.max("_range")).first()[0]
+    if not last:
+        return _one_range(placed.drop("_range"), order, measures, groups)
+    return _many_ranges(placed, order, measures, groups)
 
 
 def _up_to_row(keys: Sequence[str], order: str):
@@ -50,7 +49,7 @@ def _up_to_row(keys: Sequence[str], order: str):
     )
 
 
-def _one_level(
+def _one_range(
     rows: DataFrame, order: str, measures: Sequence[str], groups: list[str]
 ) -> DataFrame:
     whole = Window.partitionBy(*groups)
@@ -61,45 +60,32 @@ def _one_level(
     )
 
 
-def _by_range(
-    rows: DataFrame, order: str, measures: Sequence[str], groups: list[str], stride: int
+def _many_ranges(
+    placed: DataFrame, order: str, measures: Sequence[str], groups: list[str]
 ) -> DataFrame:
-    key_columns = [*groups, order]
-    # Cut points are keys drawn by hash; on average ``count / stride`` of them.
-    drawn = rows.where(F.pmod(F.xxhash64(*key_columns), F.lit(stride)) == 0).select(*key_columns)
-    cuts = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(key_columns, r)])
-            for r in drawn.collect()
-        ]
-    )
-    key = F.struct(*key_columns)
-    ranged = rows.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut <= key)))
-
-    within = ranged.select(
-        "*",
-        *[F.sum(m).over(_up_to_row([*groups, "_range"], order)).alias(f"_in_{m}") for m in measures],
+    parts = [*groups, "_range"]
+    within = placed.select(
+        "*", *[F.sum(m).over(_up_to_row(parts, order)).alias(f"_in_{m}") for m in measures]
     ).alias("w")
 
-    # One row per (group, range): at most groups + max_ranges rows in all.
-    per_range = ranged.groupBy(*groups, "_range").agg(*[F.sum(m).alias(m) for m in measures])
+    # One row per (group, range): at most groups + ranges rows in all.
+    per_range = placed.groupBy(*parts).agg(*[F.sum(m).alias(m) for m in measures])
     earlier = (
         Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
     whole = Window.partitionBy(*groups)
     offsets = per_range.select(
-        *groups,
-        "_range",
+        *parts,
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(m).over(whole).alias(f"all_{m}") for m in measures],
     ).alias("o")
 
-    same: Column = reduce(
-        lambda a, b: a & b,
-        [F.col(f"w.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*groups, "_range"]],
+    same = reduce(
+        lambda a, b: a & b, [F.col(f"w.{c}").eqNullSafe(F.col(f"o.{c}")) for c in parts]
     )
+    kept = [c for c in placed.columns if c != "_range"]
     return within.join(offsets, same).select(
-        *[f"w.{c}" for c in rows.columns],
+        *[f"w.{c}" for c in kept],
         *[(F.col(f"w._in_{m}") + F.col(f"o._off_{m}")).alias(f"cum_{m}") for m in measures],
         *[F.col(f"o.all_{m}") for m in measures],
     )
