@@ -102,11 +102,11 @@ def daily_delta(logs: DataFrame, transactions: DataFrame) -> DataFrame:
     return both.select(
         "day",
         "msno",
-        *[S.zero_if_null(c).cast(_total_type(c)).alias(c) for c in TOTALS],
+        *[S.zero_if_null(c).cast(total_type(c)).alias(c) for c in TOTALS],
     )
 
 
-def _total_type(column: str) -> str:
+def total_type(column: str) -> str:
     return "double" if column in MONEY_AND_TIME else "bigint"
 
 
@@ -137,7 +137,7 @@ def cumulative_features(delta: DataFrame, baseline: DataFrame, order: str = "day
         "msno", *fixed.DEMOGRAPHICS, *[F.col(c).alias(f"base_{c}") for c in TOTALS]
     )
     totals = [
-        (S.zero_if_null(f"base_{c}") + F.sum(c).over(so_far)).cast(_total_type(c)).alias(c) for c in TOTALS
+        (S.zero_if_null(f"base_{c}") + F.sum(c).over(so_far)).cast(total_type(c)).alias(c) for c in TOTALS
     ]
     keep = [c for c in delta.columns if c not in TOTALS]
     summed = delta.join(known, "msno", "left").select(*keep, *fixed.DEMOGRAPHICS, *totals)
@@ -165,7 +165,7 @@ def totals_after(delta: DataFrame, baseline: DataFrame) -> DataFrame:
         "msno",
         *fixed.DEMOGRAPHICS,
         *[
-            (S.zero_if_null(c) + S.zero_if_null(f"add_{c}")).cast(_total_type(c)).alias(c)
+            (S.zero_if_null(c) + S.zero_if_null(f"add_{c}")).cast(total_type(c)).alias(c)
             for c in TOTALS
         ],
     )

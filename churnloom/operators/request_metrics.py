@@ -166,4 +166,3 @@ def request_totals(log: DataFrame) -> DataFrame:
     )
 
 
-LATENCY = fixed.LATENCY_BUCKETS

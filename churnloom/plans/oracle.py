@@ -221,7 +221,8 @@ VIEWS = {
         CASE WHEN event_type IN ('view', 'click') THEN '/predict/' ELSE '/predict/batch' END AS endpoint,
         (event_id * 7919 % 1000) / 999e0 AS churn_probability,
         CASE WHEN (event_id * 7919 % 1000) / 999e0 >= 0.781e0 THEN 1 ELSE 0 END AS is_churn,
-        CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS fetch_status FROM events""",
+        CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS fetch_status,
+        value / 1000 AS fetch_seconds FROM events""",
     "labelled": """SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
         (o_orderkey * 37 % 1000 + 150 * (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)) / 1150e0 AS p FROM orders""",
     "by_score": """SELECT p AS threshold, sum(y) AS pos, sum(1 - y) AS neg FROM labelled GROUP BY p""",
@@ -330,14 +331,14 @@ def _buckets(source: str, value: str, bounds: list[float], keys: str) -> str:
 HOUR = "time_bucket(INTERVAL 3600 SECOND, ts) + INTERVAL 3600 SECOND"
 
 
-def _quantile(q: float) -> str:
-    return f"""SELECT path, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(total AS BIGINT) AS n,
-        {r6("CASE WHEN le = 'infinity'::DOUBLE THEN 10.0 ELSE low + (le - low) * (rank - below) / (cumulative - below) END", 'quantile')},
+def _quantile(q: float, source: str, value: str, bounds: list[float], key: str) -> str:
+    return f"""SELECT {key}, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(total AS BIGINT) AS n,
+        {r6("CASE WHEN le = 'infinity'::DOUBLE THEN " + str(bounds[-1]) + " ELSE low + (le - low) * (rank - below) / (cumulative - below) END", 'quantile')},
         {q} + 0.0e0 AS q
       FROM (SELECT *, lag(cumulative, 1, 0) OVER k AS below, lag(le, 1, 0.0) OVER k AS low,
-              max(cumulative) OVER (PARTITION BY path, w) AS total, {q}e0 * max(cumulative) OVER (PARTITION BY path, w) AS rank
-            FROM ({_buckets('request_log', 'duration_seconds', fixed.LATENCY_BUCKETS, f'path, {HOUR} AS w')})
-            WINDOW k AS (PARTITION BY path, w ORDER BY le))
+              max(cumulative) OVER (PARTITION BY {key}, w) AS total, {q}e0 * max(cumulative) OVER (PARTITION BY {key}, w) AS rank
+            FROM ({_buckets(source, value, bounds, f'{key}, {HOUR} AS w')})
+            WINDOW k AS (PARTITION BY {key}, w ORDER BY le))
       WHERE cumulative >= rank AND below < rank"""
 
 
@@ -536,7 +537,14 @@ SQL = {
     "mean_latency": _mean("request_log", "duration_seconds"),
     "bucket_counts": f"""SELECT path, {LE}, cumulative, 'latency' AS measure FROM ({_buckets('request_log', 'duration_seconds', fixed.LATENCY_BUCKETS, 'path')})
       UNION ALL SELECT path, {LE}, cumulative, 'batch_size' FROM ({_buckets('request_log', 'batch_size', fixed.BATCH_SIZE_BUCKETS, 'path')})""",
-    "hist_quantile": _quantile(0.95) + " UNION ALL " + _quantile(0.99),
+    "hist_quantile": " UNION ALL ".join(
+        _quantile(q, "request_log", "duration_seconds", fixed.LATENCY_BUCKETS, "path") for q in (0.95, 0.99)
+    ),
+    "fetch_latency": f"""SELECT fetch_status, {_window_end(300)}, count(*) AS n, {r6('sum(fetch_seconds) / count(*)', 'mean')}
+      FROM score_log GROUP BY ALL""",
+    "fetch_quantile": "SELECT fetch_status, window_end, n, quantile FROM ("
+    + _quantile(0.95, "score_log", "fetch_seconds", fixed.FETCH_BUCKETS, "fetch_status")
+    + ")",
     "in_flight": """SELECT path, strftime(moment, '%Y-%m-%d %H:%M:%S.%f') AS "at",
         CAST(sum(sum(change)) OVER (PARTITION BY path ORDER BY moment) AS BIGINT) AS in_flight
       FROM (SELECT path, ts AS moment, 1 AS change FROM request_log

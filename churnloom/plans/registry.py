@@ -861,3 +861,16 @@ def fetch_rate(w: Workspace) -> DataFrame:
 @query
 def fetch_success(w: Workspace) -> DataFrame:
     return rm.share(w.score_log(), F.col("fetch_status") == "success")
+
+
+@query
+def fetch_latency(w: Workspace) -> DataFrame:
+    return rm.mean(w.score_log(), "fetch_seconds", ["fetch_status"])
+
+
+@query
+def fetch_quantile(w: Workspace) -> DataFrame:
+    hour = rm.bucket_counts(
+        w.score_log(), "fetch_seconds", fixed.FETCH_BUCKETS, ["fetch_status"], width=3600
+    )
+    return rm.bucket_quantile(hour, 0.95, ["fetch_status", "window_end"])

@@ -119,13 +119,13 @@ class Workspace(Adapter):
         Rows of some users are held back and sent after all days were replayed,
         so they are late for every day but the last, which is still open then.
         """
-        return self._once("stream", self._run_stream)
+        return self._once("stream", self.run_stream)
 
     def message_folder(self) -> str:
         self.stream()
         return self._once("message_folder", lambda: None)
 
-    def _run_stream(self) -> FeatureStream:
+    def run_stream(self) -> FeatureStream:
         root = scratch(self.spark, "stream")
         folder = f"{root}/messages"
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "message_folder")

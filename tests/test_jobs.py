@@ -111,3 +111,58 @@ def test_run_log_and_score_log(spark, tmp_path):
     scoring.append_scores(scores, f"{tmp_path}/scores")
     times = sorted(r.predicted_at for r in spark.read.parquet(f"{tmp_path}/scores").collect())
     assert times[0] == "2017-03-15" and times[1].endswith("UTC")
+
+
+def test_commands_end_to_end(spark, tmp_path, w):
+    """Raw files to explained scores, each step through the command line."""
+    from churnloom.__main__ import main
+
+    bronze, silver, gold = (f"{tmp_path}/{n}" for n in ("bronze", "silver", "gold"))
+    jan = F.col("transaction_date") > 0
+    stream_paid = w.stream_transactions().select(
+        "msno",
+        F.date_format("transaction_date", "yyyyMMdd").cast("int").alias("transaction_date"),
+        F.lit(20240301).alias("membership_expire_date"),
+        "actual_amount_paid",
+        F.col("actual_amount_paid").alias("plan_list_price"),
+        "is_auto_renew",
+        "is_cancel",
+    )
+    raw = {
+        "members_v3.csv": w.members_raw(),
+        "transactions.csv": w.transactions_raw(1).where(jan),
+        "transactions_v2.csv": stream_paid,
+        "train.csv": w.train_raw(1),
+        "train_v2.csv": w.train_raw(2),
+        "user_logs.csv": w.user_logs_raw(),
+        "user_logs_v2.csv": w.user_logs_raw().limit(0),
+    }
+    for name, df in raw.items():
+        df.write.option("header", True).csv(f"{bronze}/{name}")
+    w.table("customer").select(F.col("c_custkey").alias("msno")).write.option("header", True).csv(f"{tmp_path}/ids")
+
+    def run(text):
+        main(text.format(t=tmp_path, bronze=bronze, silver=silver, gold=gold).split())
+
+    run("silver --bronze {bronze} --silver {silver}")
+    run("gold --silver {silver} --gold {gold} --as-of 2024-01-15")
+    run("replay --silver {silver} --messages {t}/messages --start 2024-01-27")
+    run("stream --gold {gold} --tables {t}/tables --messages {t}/messages")
+    run("train --gold {gold} --model {t}/model --runs {t}/runs --n-estimators 3 --max-depth 2")
+    run("refresh-config --gold {gold} --model {t}/model")
+    run("score --ids {t}/ids --features {t}/tables/features --model {t}/model --out {t}/scores")
+    run("explain --ids {t}/ids --features {t}/tables/features --model {t}/model --out {t}/reasons")
+    run("drift --gold {gold} --features {t}/tables/features --out {t}/drift --day 2024-01-28")
+
+    customers = w.table("customer").count()
+    assert spark.read.option("header", True).csv(f"{tmp_path}/scores").count() == customers
+    assert spark.read.parquet(f"{tmp_path}/reasons").count() == customers
+    assert spark.read.parquet(f"{tmp_path}/drift").select("event_date").distinct().count() == 1
+    assert spark.read.parquet(f"{tmp_path}/tables/features").select("event_date").distinct().count() == 4
+
+
+def test_offline_table_is_replaced(spark):
+    tables.publish_offline(spark.range(3), "features_train")
+    tables.publish_offline(spark.range(2), "features_train")
+    assert spark.table("features_train").count() == 2
+    spark.sql("DROP TABLE features_train")

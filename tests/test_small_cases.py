@@ -97,7 +97,7 @@ def test_cumulative_by_activity_kind(spark):
     base_row = {**zero, "msno": "paid", "city": 7, "bd": 30, "gender": "male", "registered_via": 4,
                 "total_transactions": 2, "total_amount_paid": 30.0, "total_secs": 0.0}
     order = ["msno", *fixed.DEMOGRAPHICS, *features.TOTALS]
-    kinds = ["string", "bigint", "bigint", "string", "bigint"] + [features._total_type(c) for c in features.TOTALS]
+    kinds = ["string", "bigint", "bigint", "string", "bigint"] + [features.total_type(c) for c in features.TOTALS]
     baseline = spark.createDataFrame(
         [tuple(base_row[c] for c in order)], ", ".join(f"{c} {k}" for c, k in zip(order, kinds))
     )
