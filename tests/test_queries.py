@@ -21,7 +21,8 @@ def test_same_as_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
 def test_has_rows(spark, name):
-    assert entry.queries()[name](spark, SF_DIR).count() > 0
+    # The smallest tables have no user on the later side of the split.
+    assert entry.queries()[name](spark, "/root/testdata/sf0.01").count() > 0
 
 
 def test_entry(spark):
