@@ -148,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
     rows = rows.groupBy("id", "label").agg(F.min("text").alias("text"))
     x = stored(rows.mapInArrow(extract, "id bigint, label int, x array<int>"), "features")
-    model = x.groupBy(F.lit(1)).applyInArrow(run, "r array<double>, w array<double>").collect()
+    one = x.withColumn("one", F.lit(1)).groupBy("one")
+    model = one.applyInArrow(run, "r array<double>, w array<double>").collect()
     if not model:
         return fit([], np.zeros(0))
     return np.array(model[0].r), np.array(model[0].w)

@@ -21,6 +21,7 @@ from churnloom.llm import (
     token_store,
 )
 from churnloom.llm.common import table
+from churnloom.llm.oracle import SQL as SQL
 from churnloom.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,4 +101,3 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
 }
-SQL: dict[str, str] = {}
