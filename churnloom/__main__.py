@@ -1,11 +1,13 @@
 """Command line: python -m churnloom <command> ... (or through spark-submit).
 
-Commands: silver, gold, replay, stream, train, refresh-config, score, explain, drift.
+Commands: silver, gold, replay, stream, train, refresh-config, score, explain, stats,
+materialize, historical, drift.
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnloom import fixed
-from churnloom.operators import drift, lookup, preparation
+from churnloom.operators import drift, lookup, preparation, reports
 from churnloom.plans import batch, scoring
 from churnloom.session import build
 from churnloom.sources import messages, tables
@@ -66,10 +68,33 @@ def _latest(features: DataFrame) -> DataFrame:
     return lookup.latest_rows(features.select("msno", "event_timestamp", *fixed.FEATURES))
 
 
+def _log(scored: DataFrame, a: argparse.Namespace) -> None:
+    if a.log:
+        scoring.append_scores(scored, a.log, a.run_id or uuid.uuid4().hex, a.event_time)
+
+
+def stats(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Totals of the score log."""
+    for name, value in reports.prediction_stats(spark.read.parquet(a.log)).first().asDict().items():
+        print(f"{name}: {value}")
+
+
+def materialize(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Newest features per user into a table of their own."""
+    tables.write_table(_latest(spark.read.parquet(a.features)), a.out)
+
+
+def historical(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Features as they were at each request (msno, request_time) of a Parquet table."""
+    features = spark.read.parquet(a.features).drop("event_date")
+    tables.write_table(lookup.asof_features(spark.read.parquet(a.requests), features), a.out)
+
+
 def score(spark: SparkSession, a: argparse.Namespace) -> None:
     features = spark.read.parquet(a.features)
     ids, model = tables.read_ids(spark, a.ids), scoring.load(spark, a.model)
     scored = scoring.score_batch(ids, _latest(features), model, a.threshold)
+    _log(scored, a)
     tables.export_scores(scored, a.out)
 
 
@@ -79,6 +104,7 @@ def explain(spark: SparkSession, a: argparse.Namespace) -> None:
     ids, model = tables.read_ids(spark, a.ids), scoring.load(spark, a.model)
     seen = lookup.last_seen(features)
     scored = scoring.score_users(ids, _latest(features), seen, model, a.threshold)
+    _log(scored, a)
     tables.write_table(scored, a.out)
 
 
@@ -126,6 +152,12 @@ def parser() -> argparse.ArgumentParser:
     for name, run in (("score", score), ("explain", explain)):
         sub = command(name, run, "ids", "features", "model", "out")
         sub.add_argument("--threshold", type=float, default=fixed.CHURN_THRESHOLD)
+        sub.add_argument("--log", help="score log to add the predictions to")
+        sub.add_argument("--run-id", help="a repeated run of this id replaces its rows")
+        sub.add_argument("--event-time")
+    command("stats", stats, "log")
+    command("materialize", materialize, "features", "out")
+    command("historical", historical, "requests", "features", "out")
     command("drift", check_drift, "gold", "features", "out").add_argument(
         "--day", type=date.fromisoformat
     )

@@ -35,9 +35,6 @@ def running_sums(
     key = [*groups, order]
     split = rows.repartitionByRange(ranges, *key) if ranges else rows.repartitionByRange(*key)
     placed = stored(split.withColumn("_range", F.spark_partition_id()), "running")
-    last = placed.agg(F.max("_range")).first()[0]
-    if not last:
-        return _one_range(placed.drop("_range"), order, measures, groups)
     return _many_ranges(placed, order, measures, groups)
 
 
@@ -49,17 +46,6 @@ def _up_to_row(keys: Sequence[str], order: str):
     )
 
 
-def _one_range(
-    rows: DataFrame, order: str, measures: Sequence[str], groups: list[str]
-) -> DataFrame:
-    whole = Window.partitionBy(*groups)
-    return rows.select(
-        *rows.columns,
-        *[F.sum(m).over(_up_to_row(groups, order)).alias(f"cum_{m}") for m in measures],
-        *[F.sum(m).over(whole).alias(f"all_{m}") for m in measures],
-    )
-
-
 def _many_ranges(
     placed: DataFrame, order: str, measures: Sequence[str], groups: list[str]
 ) -> DataFrame:

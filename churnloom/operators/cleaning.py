@@ -9,10 +9,11 @@ from churnloom.functions import scalars as S
 
 
 def union_versions(*versions: DataFrame) -> DataFrame:
-    """All rows of all file versions, matched by column name."""
+    """All rows of all file versions, matched by column name; a column that only some
+    versions have is null in the others."""
     first, *rest = versions
     for version in rest:
-        first = first.unionByName(version)
+        first = first.unionByName(version, allowMissingColumns=True)
     return first
 
 

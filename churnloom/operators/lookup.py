@@ -45,7 +45,7 @@ def asof_features(
     requests: DataFrame,
     features: DataFrame,
     ttl: timedelta = fixed.FEATURE_TTL,
-    bucket: timedelta = timedelta(days=1),
+    bucket: timedelta | None = None,
 ) -> DataFrame:
     """Newest feature row per request with time - ttl <= event_timestamp <= time.
 
@@ -54,10 +54,11 @@ def asof_features(
     cut at the ttl. That span is laid out over time buckets and joined on (user,
     bucket): a request meets only the rows of its own bucket, the request side
     is neither sorted by user nor grouped, and adaptive execution can split a
-    bucket with very many requests.
+    bucket with very many requests. Buckets are as wide as the ttl unless given, so
+    that a feature row is in two of them at most.
     """
     names = [c for c in features.columns if c not in ("msno", "event_timestamp")]
-    width = int(bucket.total_seconds())
+    width = int((bucket or ttl).total_seconds())
     spans = _valid_spans(latest_per_time(features), ttl, width)
     by_bucket = spans.select(
         F.col("msno").alias("_user"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -21,6 +20,7 @@ from churnloom import fixed
 from churnloom.operators import evaluation
 
 VALIDATION_SHARE = 10  # per cent of the training users watched for early stopping
+PATIENCE = 30  # rounds without a better loss on the watched users
 HIDDEN_LAYERS = [100, 50, 25]
 
 
@@ -61,7 +61,6 @@ def boosted_trees(**overrides) -> GBTClassifier:
         subsamplingRate=p["subsample"],
         featureSubsetStrategy=str(p["colsample"]),
         minInstancesPerNode=p["min_child_weight"],
-        validationIndicatorCol="validation",
         seed=p["random_state"],
     )
 
@@ -106,11 +105,32 @@ def neural_net(max_iter: int = 100, hidden: Sequence[int] = tuple(HIDDEN_LAYERS)
     return Pipeline(stages=[scale, net])
 
 
-def fit_boosted(train: DataFrame, **overrides) -> Model:
-    """Fit the main model. Rows for early stopping come out of the training
-    users, so the test users stay unseen."""
-    rows = weighted(train).withColumn("validation", _held_out(VALIDATION_SHARE))
-    return boosted_trees(**overrides).fit(assembled(rows))
+def fit_boosted(train: DataFrame, patience: int | None = PATIENCE, **overrides) -> Model:
+    """Fit the main model and keep its best number of rounds.
+
+    Rows for early stopping come out of the training users, so the test users stay
+    unseen. The first rounds of a fit do not depend on how many follow, so rounds are
+    doubled until the loss on the watched users has not improved for ``patience``
+    rounds, or all are fitted. Without ``patience`` all rows and rounds are used.
+    """
+    rows = assembled(weighted(train))
+    if patience is None:
+        return boosted_trees(**overrides).fit(rows)
+    fitted, watched = rows.where(~_held_out(VALIDATION_SHARE)), rows.where(_held_out(VALIDATION_SHARE))
+    asked = overrides.get("n_estimators", fixed.BOOSTED_TREES["n_estimators"])
+    if watched.isEmpty():
+        return boosted_trees(**overrides).fit(rows)
+    rounds = min(asked, 2 * patience)
+    while True:
+        model = boosted_trees(**{**overrides, "n_estimators": rounds}).fit(fitted)
+        losses = model.evaluateEachIteration(watched)
+        best = 1 + min(range(len(losses)), key=losses.__getitem__)
+        if rounds == asked or rounds - best >= patience:
+            break
+        rounds = min(asked, 2 * rounds)
+    if best == rounds:
+        return model
+    return boosted_trees(**{**overrides, "n_estimators": best}).fit(fitted)
 
 
 def fit(estimator: Estimator, train: DataFrame, balanced: bool = False) -> Model:
@@ -132,18 +152,8 @@ def feature_importance(spark: SparkSession, model: Model) -> DataFrame:
     ).orderBy(F.desc("importance"), "feature")
 
 
-def candidates(quick: bool = False) -> dict[str, tuple[Estimator, bool]]:
-    """Models to compare and whether their rows get balanced weights.
-
-    ``quick`` has fewer iterations and smaller nets, for small tables.
-    """
-    if quick:
-        return {
-            "Logistic Regression": (logistic_regression(50), True),
-            "Random Forest": (random_forest(10, 5, 5), True),
-            "Gradient Boosting": (baseline_boosting(5, 3, 5), False),
-            "Neural Network (MLP)": (neural_net(20, (8, 4)), False),
-        }
+def candidates() -> dict[str, tuple[Estimator, bool]]:
+    """Models to compare and whether their rows get balanced weights."""
     return {
         "Logistic Regression": (logistic_regression(), True),
         "Random Forest": (random_forest(), True),
@@ -152,15 +162,10 @@ def candidates(quick: bool = False) -> dict[str, tuple[Estimator, bool]]:
     }
 
 
-def compare(
-    train: DataFrame, test: DataFrame, models: dict[str, tuple[Estimator, bool]]
-) -> DataFrame:
-    """(model, part, metric, value): fit each model, measure it on both parts."""
+def compare(train: DataFrame, test: DataFrame, fitted: dict[str, Model]) -> DataFrame:
+    """(model, part, metric, value): measure each fitted model on both parts."""
     found = []
-    for name, (estimator, balanced) in models.items():
-        started = time.time()
-        model = fit(estimator, train, balanced)
-        found.append((name, "train", "train_seconds", time.time() - started))
+    for name, model in fitted.items():
         for part, rows in (("train", train), ("test", test)):
             measured = evaluation.metrics(score(rows, model), score="churn_probability")
             found += [(name, part, metric, value) for metric, value in measured.items()]

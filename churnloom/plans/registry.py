@@ -6,8 +6,10 @@ whole numbers as bigint, fractions rounded to six places, days and times as text
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DRIFT_DAY = date(2024, 1, 20)
+STEP = fixed.SCRAPE_SECONDS
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -75,6 +78,55 @@ def scan_parquet(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def overwrite_table(w: Workspace) -> DataFrame:
+    """A table replaced by another one."""
+    path = scratch(w.spark, "replaced")
+    tables.write_table(w.members_raw(), path)
+    tables.write_table(w.silver_members(), path)
+    return tables.read_table(w.spark, path)
+
+
+@query
+def offline_table(w: Workspace) -> DataFrame:
+    """The catalog table that the feature store reads, replaced once."""
+    name = f"offline_{uuid.uuid4().hex}"
+    tables.publish_offline(w.baseline().limit(1), name)
+    tables.publish_offline(w.baseline(), name)
+    return tables.baseline_totals(w.spark.table(name))
+
+
+@query
+def export_csv(w: Workspace) -> DataFrame:
+    path = scratch(w.spark, "export")
+    tables.export_scores(w.score_log(), path)
+    back = w.spark.read.option("header", True).csv(path)
+    return back.withColumn("is_churn", F.col("is_churn").cast("bigint"))
+
+
+@query
+def score_log_stats(w: Workspace) -> DataFrame:
+    """Two runs into the score log, one of them repeated."""
+    path = scratch(w.spark, "scores")
+    odd = F.col("prediction_id") % 2 == 1
+    for run, part in (("a", odd), ("b", ~odd), ("a", odd)):
+        scoring.append_scores(w.score_log().where(part), path, run, "2024-01-20T10:00:00Z")
+    return reports.prediction_stats(w.spark.read.parquet(path))
+
+
+@query
+def encoded_fields(w: Workspace) -> DataFrame:
+    """The fields of the encoded messages, taken from their JSON text."""
+    value = lambda name: F.get_json_object("value", f"$.{name}")
+    return w.messages().select(
+        "topic",
+        value("msno").alias("msno"),
+        F.coalesce(value("date"), value("transaction_date")).alias("day_text"),
+        *[value(c).cast("bigint").alias(c) for c in ("num_25", "num_unq", "is_auto_renew", "is_cancel")],
+        *[value(c).cast("double").alias(c) for c in ("total_secs", "actual_amount_paid")],
+    )
+
+
 @query
 def write_partitioned(w: Workspace) -> DataFrame:
     path = scratch(w.spark, "by_day")
@@ -164,7 +216,8 @@ def day_slice(w: Workspace) -> DataFrame:
 def parse_dates(w: Workspace) -> DataFrame:
     """Valid days, and days broken by adding 15 to the day of month."""
     day = F.col("transaction_date")
-    return w.transactions_raw(1).select(
+    both = w.transactions_raw(1).unionByName(w.transactions_raw(2))
+    return both.select(
         "msno",
         day.alias("day_number"),
         S.day_from_int(day).alias("parsed"),
@@ -391,6 +444,16 @@ def asof_features(w: Workspace) -> DataFrame:
     return lookup.asof_features(requests, wanted).drop("request_time")
 
 
+@query
+def asof_features_ttl(w: Workspace) -> DataFrame:
+    """The same with features that are good for two days only."""
+    requests = w.table("events").select(
+        "event_id", F.col("user_id").cast("string").alias("msno"), F.col("ts").alias("request_time")
+    )
+    wanted = w.feature_table().select("msno", "event_timestamp", "total_secs")
+    return lookup.asof_features(requests, wanted, timedelta(days=2)).drop("request_time")
+
+
 @query
 def score_lookup(w: Workspace) -> DataFrame:
     requests = w.table("customer").select(F.col("c_custkey").cast("string").alias("msno"))
@@ -447,23 +510,15 @@ def null_audit(w: Workspace) -> DataFrame:
 # --- models --------------------------------------------------------------------
 
 
-def _parts(w: Workspace) -> tuple[DataFrame, DataFrame]:
-    ready = prep.impute(w.baseline(), w.config(), "zero")
-    early, late = prep.split_by_registration(ready)
-    return prep.feature_matrix(early), prep.feature_matrix(late)
-
-
 def _scored(w: Workspace, name: str) -> DataFrame:
-    train, test = _parts(w)
-    estimator, balanced = models.candidates(quick=True)[name]
-    model = models.fit(estimator, train, balanced)
-    return models.score(test, model).select("msno", "is_churn", "churn_probability")
+    scored = models.score(w.parts()[1], w.candidate(name))
+    return scored.select("msno", "is_churn", "churn_probability")
 
 
 @query
 def train_gbt(w: Workspace) -> DataFrame:
-    _, test = _parts(w)
-    return models.score(test, w.artefacts().model).select("msno", "is_churn", "churn_probability")
+    scored = models.score(w.parts()[1], w.artefacts().model)
+    return scored.select("msno", "is_churn", "churn_probability")
 
 
 @query
@@ -488,8 +543,58 @@ def train_mlp(w: Workspace) -> DataFrame:
 
 @query
 def compare_models(w: Workspace) -> DataFrame:
-    train, test = _parts(w)
-    return models.compare(train, test, models.candidates(quick=True))
+    return models.compare(*w.parts(), {name: w.candidate(name) for name in models.candidates()})
+
+
+@query
+def train_checks(w: Workspace) -> DataFrame:
+    """Per model: scored users of the later part, and those with a probability."""
+    fitted = {"Main": w.artefacts().model} | {n: w.candidate(n) for n in models.candidates()}
+    valid = F.count_if(F.col("churn_probability").between(0, 1))
+    found = [
+        models.score(w.parts()[1], model)
+        .agg(F.count(F.lit(1)).alias("row_count"), valid.alias("valid_count"))
+        .withColumn("model", F.lit(name))
+        for name, model in fitted.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def compare_checks(w: Workspace) -> DataFrame:
+    """The measures of the comparison and whether they are in range."""
+    measured = compare_models(w)
+    bounded = F.col("value").between(0, 1) | ((F.col("metric") == "log_loss") & (F.col("value") >= 0))
+    # A part without users has no measures.
+    return measured.groupBy("model", "part").agg(
+        F.count(F.lit(1)).alias("measures"),
+        F.bool_and(bounded | F.col("value").isNull()).alias("in_range"),
+    )
+
+
+@query
+def importance_checks(w: Workspace) -> DataFrame:
+    return feature_importance(w).agg(
+        F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 4).alias("total")
+    )
+
+
+@query
+def score_checks(w: Workspace) -> DataFrame:
+    """Both ways of scoring: found or not, flag as the threshold says, at most 3 reasons."""
+    found = []
+    for kind, scored in (("batch", score_batch(w)), ("users", score_users(w))):
+        flag = (F.col("churn_probability") >= fixed.CHURN_THRESHOLD).cast("int") == F.col("is_churn").cast("int")
+        found.append(
+            scored.select(
+                F.lit(kind).alias("kind"),
+                "msno",
+                "member_found",
+                flag.alias("flag_agrees"),
+                (F.size("reasons") <= 3).alias("few_reasons"),
+            )
+        )
+    return found[0].unionByName(found[1])
 
 
 @query
@@ -577,7 +682,9 @@ def shap_additivity(w: Workspace) -> DataFrame:
     summed = explanation.explain(scored, art.model, f"{art.path}/model", ["msno", "churn_probability"])
     margin = F.aggregate("contributions", F.col("base_value"), lambda acc, x: acc + x["value"])
     gap = F.abs(1 / (1 + F.exp(-margin)) - F.col("churn_probability"))
-    return summed.agg(F.count(F.lit(1)).alias("user_count"), F.max(gap).alias("largest_gap"))
+    return summed.agg(
+        F.count(F.lit(1)).alias("user_count"), F.round(F.max(gap), 6).alias("largest_gap")
+    )
 
 
 @query
@@ -629,7 +736,7 @@ def churn_history(w: Workspace) -> DataFrame:
 
 @query
 def churned_top(w: Workspace) -> DataFrame:
-    return reports.churned_top(reports.churn_history(w.score_log())).select(
+    return reports.churned_top(w.score_log()).select(
         "prediction_id", "msno", "churn_probability"
     )
 
@@ -648,9 +755,9 @@ def users_page(w: Workspace) -> DataFrame:
 
 @query
 def users_page_deep(w: Workspace) -> DataFrame:
-    """The same page found by running rank, as a deep page is."""
+    """A later page of another size."""
     users = features.active_users(w.day_logs(), w.day_transactions())
-    return reports.users_page(users, DRIFT_DAY, page=2, size=20, sorted_limit=0)
+    return reports.users_page(users, DRIFT_DAY, page=4, size=7)
 
 
 @query
@@ -765,22 +872,22 @@ def stream_prediction_stats(w: Workspace) -> DataFrame:
 
 @query
 def req_rate(w: Workspace) -> DataFrame:
-    by_path = rm.rate(w.request_log(), ["path"]).withColumnRenamed("path", "label")
-    by_status = rm.rate(w.request_log(), ["status_code"]).withColumnRenamed("status_code", "label")
+    by_path = rm.rate(w.request_log(), ["path"], every=STEP).withColumnRenamed("path", "label")
+    by_status = rm.rate(w.request_log(), ["status_code"], every=STEP).withColumnRenamed("status_code", "label")
     return by_path.unionByName(by_status)
 
 
 @query
 def error_rate(w: Workspace) -> DataFrame:
     failed = F.col("status_code").startswith("5")
-    minute = rm.share(w.request_log(), failed, width=60).withColumn("width", F.lit(60))
-    five = rm.share(w.request_log(), failed, width=300).withColumn("width", F.lit(300))
+    minute = rm.share(w.request_log(), failed, width=60, every=STEP).withColumn("width", F.lit(60))
+    five = rm.share(w.request_log(), failed, width=300, every=STEP).withColumn("width", F.lit(300))
     return minute.unionByName(five)
 
 
 @query
 def mean_latency(w: Workspace) -> DataFrame:
-    return rm.mean(w.request_log(), "duration_seconds")
+    return rm.mean(w.request_log(), "duration_seconds", every=STEP)
 
 
 @query
@@ -797,14 +904,17 @@ def bucket_counts(w: Workspace) -> DataFrame:
 
 @query
 def hist_quantile(w: Workspace) -> DataFrame:
+    """By path, by status and over all requests."""
     parts = []
-    hour = rm.bucket_counts(
-        w.request_log(), "duration_seconds", fixed.LATENCY_BUCKETS, ["path"], width=3600
-    )
-    for q in (0.95, 0.99):
-        quantiles = rm.bucket_quantile(hour, q, ["path", "window_end"])
-        parts.append(quantiles.withColumn("q", F.lit(q)))
-    return parts[0].unionByName(parts[1])
+    for label in ("path", "status_code", F.lit("all")):
+        log = w.request_log().withColumn("label", F.col(label) if isinstance(label, str) else label)
+        buckets = rm.bucket_counts(
+            log, "duration_seconds", fixed.LATENCY_BUCKETS, ["label"], width=300, every=STEP
+        )
+        for q in (0.95, 0.99):
+            quantiles = rm.bucket_quantile(buckets, q, ["label", "window_end"])
+            parts.append(quantiles.withColumn("q", F.lit(q)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -823,7 +933,7 @@ def metric_totals(w: Workspace) -> DataFrame:
 @query
 def pred_rate(w: Workspace) -> DataFrame:
     kind = F.when(F.col("path") == "/predict/", "single").otherwise("batch")
-    return rm.rate(w.request_log().withColumn("kind", kind), ["kind"])
+    return rm.rate(w.request_log().withColumn("kind", kind), ["kind"], every=STEP)
 
 
 @query
@@ -834,43 +944,45 @@ def rolling_churn_rate(w: Workspace) -> DataFrame:
 
 @query
 def class_mix(w: Workspace) -> DataFrame:
-    return rm.rate(w.score_log(), ["is_churn"], width=300)
+    return rm.rate(w.score_log(), ["is_churn"], width=300, every=STEP)
 
 
 @query
 def prob_heatmap(w: Workspace) -> DataFrame:
-    cells = rm.bucket_counts(w.score_log(), "churn_probability", fixed.PROBABILITY_BUCKETS, width=3600)
+    cells = rm.bucket_counts(
+        w.score_log(), "churn_probability", fixed.PROBABILITY_BUCKETS, width=300, every=STEP
+    )
     return cells.withColumn("le", F.when(F.col("le") == float("inf"), -1.0).otherwise(F.col("le")))
 
 
 @query
 def mean_prob(w: Workspace) -> DataFrame:
-    return rm.mean(w.score_log(), "churn_probability")
+    return rm.mean(w.score_log(), "churn_probability", every=STEP)
 
 
 @query
 def mean_batch(w: Workspace) -> DataFrame:
-    return rm.mean(w.request_log().where("path = '/predict/batch'"), "batch_size")
+    return rm.mean(w.request_log().where("path = '/predict/batch'"), "batch_size", every=STEP)
 
 
 @query
 def fetch_rate(w: Workspace) -> DataFrame:
-    return rm.rate(w.score_log())
+    return rm.rate(w.score_log(), every=STEP)
 
 
 @query
 def fetch_success(w: Workspace) -> DataFrame:
-    return rm.share(w.score_log(), F.col("fetch_status") == "success")
+    return rm.share(w.score_log(), F.col("fetch_status") == "success", every=STEP)
 
 
 @query
 def fetch_latency(w: Workspace) -> DataFrame:
-    return rm.mean(w.score_log(), "fetch_seconds", ["fetch_status"])
+    return rm.mean(w.score_log(), "fetch_seconds", ["fetch_status"], every=STEP)
 
 
 @query
 def fetch_quantile(w: Workspace) -> DataFrame:
-    hour = rm.bucket_counts(
-        w.score_log(), "fetch_seconds", fixed.FETCH_BUCKETS, ["fetch_status"], width=3600
+    buckets = rm.bucket_counts(
+        w.score_log(), "fetch_seconds", fixed.FETCH_BUCKETS, ["fetch_status"], width=300, every=STEP
     )
-    return rm.bucket_quantile(hour, 0.95, ["fetch_status", "window_end"])
+    return rm.bucket_quantile(buckets, 0.95, ["fetch_status", "window_end"])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.operators import evaluation, explanation, lookup, models, preparation, reports
+from churnloom.sources import tables
 
 
 @dataclass
@@ -118,11 +119,18 @@ def explain_users(requests: DataFrame, latest: DataFrame, artefacts: Artefacts)
     return reports.ranked_contributions(explained)
 
 
-def append_scores(scores: DataFrame, path: str, event_time: str | None = None) -> None:
-    """Score log: one row per prediction with the given event time, else now."""
-    scores.select(
+def append_scores(
+    scores: DataFrame, path: str, run_id: str, event_time: str | None = None
+) -> None:
+    """Score log: one row per prediction with the given event time, else now.
+
+    A run that is repeated under its id replaces its own rows.
+    """
+    rows = scores.select(
         "msno",
         "churn_probability",
         "is_churn",
         S.event_time_or_now(F.lit(event_time).cast("string")).alias("predicted_at"),
-    ).write.mode("append").parquet(path)
+        F.lit(run_id).alias("run_id"),
+    )
+    tables.write_by_day(rows, path, "run_id")

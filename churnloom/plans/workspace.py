@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnloom import fixed
-from churnloom.operators import cleaning, drift, features, lookup, preparation
+from churnloom.operators import cleaning, drift, features, lookup, models, preparation
 from churnloom.plans import scoring
 from churnloom.session import scratch, stored
 from churnloom.sources import messages as M
@@ -147,16 +148,24 @@ class Workspace(Adapter):
         return job
 
     # --- model -------------------------------------------------------------------
+    def parts(self) -> tuple[DataFrame, DataFrame]:
+        """Prepared rows of the earlier and the later users."""
+        ready = preparation.impute(self.baseline(), self.config(), "zero")
+        early, late = preparation.split_by_registration(ready)
+        return preparation.feature_matrix(early), preparation.feature_matrix(late)
+
+    def candidate(self, name: str) -> Model:
+        """A model of the comparison with its stated parameters, fitted once."""
+        estimator, balanced = models.candidates()[name]
+        return self._once(name, lambda: models.fit(estimator, self.parts()[0], balanced))
+
     def artefacts(self) -> scoring.Artefacts:
-        """A small model for the test tables; the parameters are the caller's."""
+        """The main model with its stated parameters, fitted once."""
         return self._once(
             "model",
             lambda: scoring.train(
                 self.spark,
                 self.baseline(),
                 scratch(self.spark, "model"),
-                n_estimators=10,
-                max_depth=4,
-                min_child_weight=5,
             ),
         )

@@ -12,17 +12,25 @@ from churnloom import fixed, schemas
 
 
 def read_bronze(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """Headered CSV with the declared schema of ``table``.
+    """Headered CSV: the declared columns of ``table`` by name, with their types, then
+    all others as text in the order of the header.
 
-    ``enforceSchema`` off makes Spark check the header against the schema, so a
-    file with its columns in another order fails instead of being misread.
+    Files may have their columns in any order and more of them, as long as all files
+    of one call share a header; a missing declared column fails. Further columns are
+    kept because rows may differ in nothing else.
     """
-    return (
-        spark.read.schema(schemas.BRONZE[table])
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    named = {c.strip().lower(): c for c in raw.columns}
+    declared = schemas.BRONZE[table]
+    missing = [f.name for f in declared if f.name not in named]
+    if missing:
+        raise ValueError(f"{table}: no column {', '.join(missing)} in {path}")
+    others = [c for n, c in named.items() if n not in declared.names]
+    typed = [
+        F.expr(f"try_cast(`{named[f.name]}` AS {f.dataType.simpleString()})").alias(f.name)
+        for f in declared
+    ]
+    return raw.select(*typed, *[F.col(f"`{c}`") for c in others])
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnloom import fixed
-from churnloom.operators import models
+from churnloom.operators import cleaning, models
 from churnloom.plans import batch, scoring
 from churnloom.plans.workspace import Workspace
 from churnloom.sources import tables
@@ -39,10 +39,20 @@ def test_raw_files_to_gold(spark, tmp_path, w):
     assert a == b
 
 
-def test_header_mismatch_fails(spark, tmp_path):
+def test_bronze_columns_are_found_by_name(spark, tmp_path):
     spark.sql("SELECT 1 AS is_churn, 'a' AS msno").write.option("header", True).csv(f"{tmp_path}/train")
-    with pytest.raises(Exception):
-        tables.read_bronze(spark, f"{tmp_path}/train", "train").collect()
+    assert tables.read_bronze(spark, f"{tmp_path}/train", "train").collect() == [("a", 1)]
+    spark.sql("SELECT 'a' AS msno").write.option("header", True).csv(f"{tmp_path}/short")
+    with pytest.raises(ValueError, match="is_churn"):
+        tables.read_bronze(spark, f"{tmp_path}/short", "train")
+
+
+def test_payments_that_differ_in_a_further_column_stay(spark, tmp_path, w):
+    paid = w.transactions_raw(1).limit(50).selectExpr("41 AS payment_method_id", "*", "30 AS plan_days")
+    both = paid.union(paid.withColumn("plan_days", F.lit(90))).union(paid)
+    both.write.option("header", True).csv(f"{tmp_path}/paid")
+    read = tables.read_bronze(spark, f"{tmp_path}/paid", "transactions")
+    assert cleaning.silver_transactions(read).count() == 2 * paid.distinct().count()
 
 
 def test_retried_day_replaces_itself_only(spark, tmp_path, w):
@@ -107,10 +117,10 @@ def test_run_log_and_score_log(spark, tmp_path):
     models.log_run(spark, f"{tmp_path}/runs", "r2", {"auc_roc": 0.6})
     assert spark.read.parquet(f"{tmp_path}/runs").count() == 3
     scores = spark.createDataFrame([("a", 0.9, 1)], "msno string, churn_probability double, is_churn int")
-    scoring.append_scores(scores, f"{tmp_path}/scores", "2017-03-15")
-    scoring.append_scores(scores, f"{tmp_path}/scores")
+    for run, time in (("r1", "2017-03-14"), ("r2", None), ("r1", "2017-03-15")):
+        scoring.append_scores(scores, f"{tmp_path}/scores", run, time)
     times = sorted(r.predicted_at for r in spark.read.parquet(f"{tmp_path}/scores").collect())
-    assert times[0] == "2017-03-15" and times[1].endswith("UTC")
+    assert len(times) == 2 and times[0] == "2017-03-15" and times[1].endswith("UTC")
 
 
 def test_commands_end_to_end(spark, tmp_path, w):
