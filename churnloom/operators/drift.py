@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,9 +144,21 @@ def _shares(counts: Column) -> Column:
     return F.transform(counts, lambda n: F.greatest(n / total, eps))
 
 
-def drift_ks(baseline: DataFrame, current: DataFrame, day: str = "event_date") -> DataFrame:
+def value_counts(baseline: DataFrame) -> DataFrame:
+    """(feature, value, n): the baseline's distribution."""
+    return long_features(baseline).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift_ks(
+    baseline: DataFrame,
+    current: DataFrame,
+    day: str = "event_date",
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """(day, feature, ks_stat, ref_n, cur_n) over all rows of both sides.
 
+    ``counts`` is the stored result of ``value_counts``, if there is one.
+
     The current distribution only jumps at its own values, so the largest gap is
     found there: at the value and just below it. The baseline's running count is
     therefore needed once per value, not once per day.
@@ -153,7 +166,7 @@ def drift_ks(baseline: DataFrame, current: DataFrame, day: str = "event_date") -
     cur = long_features(current, [day]).groupBy(day, "feature", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    ref = long_features(baseline).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    ref = value_counts(baseline) if counts is None else counts
     cur_running = running_sums(cur, "value", ["n"], [day, "feature"])
     asked = cur_running.select("feature", "value", F.lit(0).cast("bigint").alias("n"))
     pooled = ref.unionByName(asked).groupBy("feature", "value").agg(F.sum("n").alias("r"))
@@ -171,13 +184,33 @@ def drift_ks(baseline: DataFrame, current: DataFrame, day: str = "event_date") -
     )
 
 
-def drift_table(baseline: DataFrame, current: DataFrame, day: str = "event_date") -> DataFrame:
+@dataclass(frozen=True)
+class Reference:
+    """What drift checks need of a baseline; stored, so that it is computed once."""
+
+    bins: DataFrame
+    counts: DataFrame
+
+
+def reference(baseline: DataFrame) -> Reference:
+    return Reference(
+        stored(drift_baseline(baseline), "bins"), stored(value_counts(baseline), "values")
+    )
+
+
+def drift_table(
+    baseline: DataFrame,
+    current: DataFrame,
+    day: str = "event_date",
+    known: Reference | None = None,
+) -> DataFrame:
     """(day, feature, psi, level, ks_stat, ks_pvalue, ks_drift).
 
     The flag uses the unrounded p-value, so a value near 0 counts as drift.
     """
-    psi = drift_psi(stored(drift_baseline(baseline), "bins"), current, day)
-    ks = drift_ks(baseline, current, day).withColumn(
+    known = known or reference(baseline)
+    psi = drift_psi(known.bins, current, day)
+    ks = drift_ks(baseline, current, day, known.counts).withColumn(
         "ks_pvalue", S.ks_pvalue("ks_stat", "ref_n", "cur_n")
     )
     return psi.join(ks, [day, "feature"], "left").select(

@@ -26,6 +26,9 @@ from churnloom import fixed
 
 # The classifier's log-odds are twice its raw margin.
 LOG_ODDS_PER_MARGIN = 2.0
+# A leaf's table has 2**d rows of d numbers for d different features on its path, so a
+# leaf costs 0.4 MB at most. Trees of this depth or less always fit.
+MOST_ON_A_PATH = 12
 
 
 @dataclass(frozen=True)
@@ -86,6 +89,8 @@ def base_value(leaves: tuple[Leaf, ...]) -> float:
 def _pattern_table(leaf: Leaf) -> np.ndarray:
     """Contribution of each path feature for each pattern of met conditions."""
     d = len(leaf.features)
+    if d > MOST_ON_A_PATH:
+        raise ValueError(f"{d} features on a path; tables are made for {MOST_ON_A_PATH} at most")
     met = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
     z = np.asarray(leaf.share)
     weight = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])

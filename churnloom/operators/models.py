@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from churnloom import fixed
 from churnloom.operators import evaluation
+from churnloom.session import stored
 
 VALIDATION_SHARE = 10  # per cent of the training users watched for early stopping
 PATIENCE = 30  # rounds without a better loss on the watched users
@@ -167,7 +168,9 @@ def compare(train: DataFrame, test: DataFrame, fitted: dict[str, Model]) -> Data
     found = []
     for name, model in fitted.items():
         for part, rows in (("train", train), ("test", test)):
-            measured = evaluation.metrics(score(rows, model), score="churn_probability")
+            scored = score(rows, model).select(fixed.LABEL, "churn_probability")
+            # Stored, since the measures read the scores several times.
+            measured = evaluation.metrics(stored(scored, "scored"), score="churn_probability")
             found += [(name, part, metric, value) for metric, value in measured.items()]
     spark = train.sparkSession
     return spark.createDataFrame(found, "model string, part string, metric string, value double")

@@ -74,6 +74,8 @@ class FeatureStream:
         self.keep_latest = keep_latest and not dry_run
         self.check_drift = check_drift and not dry_run
         self.dry_run = dry_run
+        #: The baseline's bins and value counts, made at the first drift check.
+        self.reference: drift_ops.Reference | None = None
 
     # --- tables ------------------------------------------------------------
     def _path(self, name: str) -> str:
@@ -205,7 +207,10 @@ class FeatureStream:
 
     def _check_drift(self, days: Sequence[date]) -> None:
         current = self.features().where(F.col("event_date").isin(list(days)))
-        write_by_day(drift_ops.drift_table(self.baseline, current), self._path("drift"), "event_date")
+        if self.reference is None:
+            self.reference = drift_ops.reference(self.baseline)
+        found = drift_ops.drift_table(self.baseline, current, known=self.reference)
+        write_by_day(found, self._path("drift"), "event_date")
 
     def finalize(self) -> list[date]:
         """Flush the days still open at the end of the input, in date order."""
