@@ -53,7 +53,7 @@ def stream(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
     given = {k: getattr(a, k) for k in fixed.BOOSTED_TREES if getattr(a, k) is not None}
-    done = scoring.train(spark, spark.read.parquet(a.gold), a.model, runs=a.runs, **given)
+    done = scoring.train(spark, spark.read.parquet(a.gold), a.model, runs=a.runs, patience=a.patience, **given)
     for name, value in done.metrics.items():
         print(f"{name}: {value}")
 
@@ -145,6 +145,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command("train", train, "gold", "model")
     sub.add_argument("--runs")
+    sub.add_argument("--patience", type=int, help="rounds without a better watched loss")
     for name, value in fixed.BOOSTED_TREES.items():
         sub.add_argument(f"--{name.replace('_', '-')}", type=type(value))
 

@@ -21,7 +21,6 @@ from churnloom.operators import evaluation
 from churnloom.session import stored
 
 VALIDATION_SHARE = 10  # per cent of the training users watched for early stopping
-PATIENCE = 30  # rounds without a better loss on the watched users
 HIDDEN_LAYERS = [100, 50, 25]
 
 
@@ -62,6 +61,7 @@ def boosted_trees(**overrides) -> GBTClassifier:
         subsamplingRate=p["subsample"],
         featureSubsetStrategy=str(p["colsample"]),
         minInstancesPerNode=p["min_child_weight"],
+        validationTol=0.0,
         seed=p["random_state"],
     )
 
@@ -106,22 +106,26 @@ def neural_net(max_iter: int = 100, hidden: Sequence[int] = tuple(HIDDEN_LAYERS)
     return Pipeline(stages=[scale, net])
 
 
-def fit_boosted(train: DataFrame, patience: int | None = PATIENCE, **overrides) -> Model:
-    """Fit the main model and keep its best number of rounds.
+def fit_boosted(train: DataFrame, patience: int | None = None, **overrides) -> Model:
+    """Fit the main model with early stopping.
 
     Rows for early stopping come out of the training users, so the test users stay
-    unseen. The first rounds of a fit do not depend on how many follow, so rounds are
-    doubled until the loss on the watched users has not improved for ``patience``
-    rounds, or all are fitted. Without ``patience`` all rows and rounds are used.
+    unseen. Without ``patience`` the fit ends at the first round that does not lower
+    the loss on the watched users. With it, fitting goes on until that loss has not
+    improved for ``patience`` rounds, and the best number of rounds is kept: the first
+    rounds do not depend on how many follow, so their number is doubled and refitted,
+    which costs up to three times the trees.
     """
-    rows = assembled(weighted(train))
-    if patience is None:
-        return boosted_trees(**overrides).fit(rows)
-    fitted, watched = rows.where(~_held_out(VALIDATION_SHARE)), rows.where(_held_out(VALIDATION_SHARE))
+    held = _held_out(VALIDATION_SHARE)
+    rows = assembled(weighted(train).withColumn("validation", held))
     asked = overrides.get("n_estimators", fixed.BOOSTED_TREES["n_estimators"])
+    watched = rows.where("validation")
     if watched.isEmpty():
         return boosted_trees(**overrides).fit(rows)
-    rounds = min(asked, 2 * patience)
+    if patience is None:
+        stopping = boosted_trees(**overrides)
+        return stopping.setValidationIndicatorCol("validation").fit(rows)
+    fitted, rounds = rows.where("not validation"), min(asked, 2 * patience)
     while True:
         model = boosted_trees(**{**overrides, "n_estimators": rounds}).fit(fitted)
         losses = model.evaluateEachIteration(watched)

@@ -35,6 +35,7 @@ def train(
     cut: date = fixed.SPLIT_DATE,
     fit_on_train_only: bool = False,
     runs: str | None = None,
+    patience: int | None = None,
     **parameters,
 ) -> Artefacts:
     """Prepare, split out of time, fit, evaluate on the later users, save.
@@ -46,7 +47,7 @@ def train(
     config = preparation.fit_config(early if fit_on_train_only else gold)
     ready = preparation.impute(gold, config, "zero")
     train_rows, test_rows = preparation.split_by_registration(ready, cut)
-    model = models.fit_boosted(preparation.feature_matrix(train_rows), **parameters)
+    model = models.fit_boosted(preparation.feature_matrix(train_rows), patience, **parameters)
     scored = models.score(preparation.feature_matrix(test_rows), model)
     measured = evaluation.metrics(scored, score="churn_probability")
 
@@ -56,7 +57,8 @@ def train(
         spark, {**config, "feature_cols": fixed.FEATURES, "run_id": run_id}, f"{path}/config"
     )
     if runs:
-        models.log_run(spark, runs, run_id, {**fixed.BOOSTED_TREES, **parameters, **measured, "artefacts": path})
+        kept = {"trees_kept": model.getNumTrees, "artefacts": path}
+        models.log_run(spark, runs, run_id, {**fixed.BOOSTED_TREES, **parameters, **measured, **kept})
     return Artefacts(model, config, list(fixed.FEATURES), path, run_id, measured)
 
 

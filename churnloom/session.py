@@ -42,7 +42,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
-        root = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="churnloom-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="churnloom-")
+        root = _local_folders[app]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

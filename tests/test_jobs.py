@@ -176,3 +176,21 @@ def test_offline_table_is_replaced(spark):
     tables.publish_offline(spark.range(2), "features_train")
     assert spark.table("features_train").count() == 2
     spark.sql("DROP TABLE features_train")
+
+
+def _with_signal(spark, rows=2000):
+    """Users whose churn depends on two features, with noise."""
+    base = spark.range(rows).withColumn("u", F.rand(1)).withColumn("v", F.rand(2)).withColumn("e", F.randn(3))
+    churn = (F.sin(F.col("u") * 6) + F.col("v") ** 2 + 0.3 * F.col("e") > 0.6).cast("int")
+    columns = {c: F.lit(0.0) for c in fixed.FEATURES} | {
+        fixed.FEATURES[0]: F.col("u"), fixed.FEATURES[5]: F.col("v"), "is_churn": churn, "msno": F.col("id").cast("string")
+    }
+    return base.select(*[c.alias(n) for n, c in columns.items()]).coalesce(2).cache()
+
+
+def test_boosting_keeps_more_than_a_few_trees(spark):
+    rows = _with_signal(spark)
+    stopped = models.fit_boosted(rows, n_estimators=60, max_depth=3)
+    assert 5 < stopped.getNumTrees <= 60
+    patient = models.fit_boosted(rows, 5, n_estimators=30, max_depth=2)
+    assert 5 < patient.getNumTrees <= 30
