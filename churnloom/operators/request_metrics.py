@@ -106,7 +106,7 @@ def bucket_counts(
     return counted.select(*keys, F.inline(F.array(*pairs)))
 
 
-def bucket_quantile(buckets: DataFrame, q: float, by: Sequence[str] = ()) -> DataFrame:
+def bucket_quantile(buckets: DataFrame, q: float | Column, by: Sequence[str] = ()) -> DataFrame:
     """Quantile by linear interpolation inside the bucket that reaches rank q.
 
     A rank in the open last bucket gives the highest finite bound. ``buckets``
