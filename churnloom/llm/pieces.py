@@ -20,6 +20,9 @@ LONGEST = 64
 #: Letters below this code point have been letters in every Unicode version, so that
 #: a run of them is one word for every version the library may be built with.
 SETTLED = "\u0250"
+#: ASCII marks that are neither letter, number nor space; not the apostrophe, which may
+#: belong to the letters after it.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -82,9 +85,9 @@ class PieceValues(Generic[V]):
             if p in older:
                 known[p] = older[p]
                 continue
-            # A mark after letters is a word of its own at the end of a piece.
-            end = p[-1] if p[-1] in ".," else ""
-            stem = p[:-1] if end else p
+            # A run of marks after letters is a word of its own at the end of a piece.
+            stem = p.rstrip(MARKS)
+            end = p[len(stem) :]
             if not stem.isalpha() or max(stem) >= SETTLED:
                 known[p] = self.of_any(p)
                 continue
