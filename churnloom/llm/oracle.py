@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnloom.llm import chat, mixing
+from churnloom.llm import chat, mixing, substring
 from churnloom.llm import secret_ledger as S
 
 
@@ -54,8 +54,9 @@ CONTAMINATION = f"""
     ),
     d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
     dw AS (
-        SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
-        FROM (SELECT *, unnest(generate_series(1, len(w) - size + 1)) AS i
+        SELECT doc_id, size, x.i AS i, x.win AS win
+        FROM (SELECT doc_id, size, unnest(list_transform(generate_series(1, len(w) - size + 1),
+                  lambda i: {{'i': i, 'win': array_to_string(w[i:i + size - 1], ' ')}})) AS x
               FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)
     ),
     h AS (SELECT doc_id, i, dw.size, item FROM dw JOIN bw ON dw.win = bw.win AND dw.size = bw.size),
@@ -69,6 +70,25 @@ CONTAMINATION = f"""
     FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+_W = substring.WINDOW
+SUBSTRING = rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (
+        SELECT doc_id, x.i AS i, x.h AS h
+        FROM (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - {_W} + 1),
+                  lambda i: {{'i': i, 'h': md5(array_to_string(w[i:i + {_W} - 1], ' '))}})) AS x
+              FROM d WHERE len(w) >= {_W})
+    ),
+    r AS (SELECT h FROM p GROUP BY h HAVING count(*) > 1),
+    g AS (SELECT DISTINCT doc_id, i + k AS pos FROM p SEMI JOIN r USING (h), (SELECT unnest(range(0, {_W})) AS k)),
+    u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+    k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept
+          FROM u ANTI JOIN g USING (doc_id, pos) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)
+"""
+
 MIXING = f"""
     WITH n AS (SELECT source, count(*) AS n, pow(count(*), {mixing.TEMPERATURE}) AS w FROM documents GROUP BY source),
     r AS (SELECT source, w / (SELECT sum(w) FROM n) * (SELECT sum(n) FROM n) / n AS rate FROM n),
@@ -142,6 +162,7 @@ CHAT = rf"""
 SQL = {
     "op1_secret_ledger": _secrets(),
     "op2_decontamination": CONTAMINATION,
+    "op6_substring_dedup": SUBSTRING,
     "op9_chat_format": CHAT,
     "op10_mixing": MIXING,
 }
