@@ -88,7 +88,8 @@ class PieceValues(Generic[V]):
             # A run of marks after letters is a word of its own at the end of a piece.
             stem = p.rstrip(MARKS)
             end = p[len(stem) :]
-            if not stem.isalpha() or max(stem) >= SETTLED:
+            # In lower case a mark may come off a letter and join the marks behind it.
+            if not stem.isalpha() or max(stem) >= SETTLED or not stem.lower().isalpha():
                 known[p] = self.of_any(p)
                 continue
             if stem.isascii():  # so that both cases of a word are one entry
