@@ -12,10 +12,11 @@ So the last token at a position is the one that ends there and is compatible wit
 last token at its own start; a state need only hold the last tokens and relative
 counts of the positions that a longer token may still start from.
 
-A long text is cut into chunks anywhere. What a chunk does to the reader's state is a
-map: it finishes the open piece with ``head``, emits ``count`` and leaves ``tail`` open
-(a chunk without white space only adds to the open piece). These maps compose
-associatively, and a parallel prefix scan over them gives the text's count.
+A long text is cut into chunks anywhere. A chunk maps the state it is entered in to the
+state it leaves and a count; the maps are applied in order, one after the other, and only
+the last state is kept. The state is the open piece's: a piece longer than a chunk is cut
+where nothing can reach across (``safe_cut``), also inside a word, of which just the
+transducer's state goes on. Open text is held, in linear memory, where no such place is.
 
 Defined results: null text counts as empty (0 tokens); null and repeated doc_id rows
 are kept, one row each; an empty table gives an empty table; other columns are ignored.
@@ -26,6 +27,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -41,6 +43,24 @@ CHUNK_CHARS = 1 << 16
 #: States and compatible pairs kept before the tables start anew; a bound of memory only.
 KEPT_STATES = 300_000
 KEPT_PAIRS = 1_000_000
+#: The normaliser and word splitter that ``safe_cut`` is proven for; with any other, a
+#: piece is left whole.
+NORMALISER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 class State(NamedTuple):
@@ -135,12 +155,15 @@ class CountTransducer:
         return change
 
     # --- running --------------------------------------------------------------------
-    def count(self, word: str) -> int:
-        if not word:
-            return 0
+    def _bound(self) -> None:
         if len(self.states) > KEPT_STATES:
             self.numbers.clear()
             self.states, self.steps, self.stops = [], [], []
+
+    def count(self, word: str) -> int:
+        if not word:
+            return 0
+        self._bound()
         n, total, steps = self._number(self.first), 0, self.steps
         for symbol in word[:-1]:
             step = steps[n].get(symbol) or self._step(n, symbol)
@@ -149,6 +172,57 @@ class CountTransducer:
         change = self.stops[n].get(word[-1])
         return total + (self._stop(n, word[-1]) if change is None else change)
 
+    def advance(self, state: State, symbols: str) -> tuple[State, int]:
+        """The state that symbols inside a word lead to and the change in the count."""
+        self._bound()
+        n, total, steps = self._number(state), 0, self.steps
+        for symbol in symbols:
+            step = steps[n].get(symbol) or self._step(n, symbol)
+            n = step[0]
+            total += step[1]
+        return self.states[n], total
+
+    def finish(self, state: State, symbol: str) -> int:
+        """The change in the count if the word ends with ``symbol``."""
+        return self._last(state, symbol + self.end)[1]
+
+
+class OpenWord(NamedTuple):
+    """A word read so far but for its last symbol, which may or may not end it."""
+
+    state: State
+    symbol: str
+
+
+@cache
+def _joining() -> frozenset[str]:
+    """Characters that canonical composition may join to the one before."""
+    found = {chr(c) for a, b in ((0x1161, 0x1176), (0x11A8, 0x11C3)) for c in range(a, b)}
+    for c in map(chr, range(0x110000)):
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(chr(int(parts[1], 16)))
+    return frozenset(found)
+
+
+@cache
+def _kind(c: str) -> str:
+    """L letter, N ASCII digit, S mark or symbol, W ASCII white space, or empty: left
+    uncut. A letter has been one since Unicode 3.2 and stays one letter in lower case."""
+    if c in "0123456789":
+        return "N"
+    if c in "\t\x0b\x0c\r":
+        return "W"
+    if c == "'" or unicodedata.combining(c) or c in _joining():
+        return ""
+    plain = unicodedata.normalize("NFC", c).lower()
+    if len(plain) != 1:
+        return ""
+    kinds = [unicodedata.ucd_3_2_0.category(c), unicodedata.category(c), unicodedata.category(plain)]
+    if all(k[0] == "L" for k in kinds):
+        return "L"
+    return "S" if all(k[0] in "PS" for k in kinds[1:]) else ""
+
 
 class PieceCounts:
     """Token counts of texts: the library's normaliser and word splitter, then the
@@ -169,7 +243,12 @@ class PieceCounts:
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.machine = CountTransducer(merges, model.get("end_of_word_suffix") or "")
-        special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.opening = {t[0] for t in added}
+        self.added, self.begun = tuple(added), tuple({t[:k] for t in added for k in range(1, len(t))})
+        self.cuttable = spec["normalizer"] == NORMALISER and spec["pre_tokenizer"] == SPLITTER
+        self.cuttable &= not any(self.opening.intersection(t[1:]) for t in added)
+        special = [re.escape(t) for t in added]
         self.special = re.compile("|".join(sorted(special, key=len, reverse=True)) or r"(?!)")
         self.memo = PieceValues(self._words, self._any, lambda a, b: a + b, 0)
 
@@ -193,49 +272,103 @@ class PieceCounts:
     def values(self, parts: list[str]) -> int:
         return sum(self.memo.values(parts))
 
-
-class ChunkMap(NamedTuple):
-    """What reading a chunk does: the open piece gets ``head``; if the chunk holds a
-    cut, that piece is counted, ``count`` is emitted and ``tail`` stays open."""
-
-    head: str
-    cut: bool
-    count: int
-    tail: str
-
-
-def chunk_map(text: str, machine: PieceCounts) -> ChunkMap:
-    parts = pieces(text)
-    if len(parts) == 1:
-        return ChunkMap(text, False, 0, "")
-    return ChunkMap(parts[0], True, machine.values(parts[1:-1]), parts[-1])
-
-
-def compose(a: ChunkMap, b: ChunkMap, machine: PieceCounts) -> ChunkMap:
-    """First ``a``, then ``b``; associative."""
-    if not a.cut:
-        return ChunkMap(a.head + b.head, b.cut, b.count, b.tail)
-    if not b.cut:
-        return ChunkMap(a.head, True, a.count, a.tail + b.head)
-    middle = machine.values([a.tail + b.head])
-    return ChunkMap(a.head, True, a.count + middle + b.count, b.tail)
-
-
-def scan(maps: list[ChunkMap], machine: PieceCounts) -> list[ChunkMap]:
-    """Composition of every prefix, in log2(n) rounds of independent compositions."""
-    step = 1
-    while step < len(maps):
-        maps = maps[:step] + [compose(a, b, machine) for a, b in zip(maps, maps[step:])]
-        step *= 2
-    return maps
+    # --- pieces longer than a chunk -------------------------------------------------
+    def safe_cut(self, text: str) -> tuple[int, bool]:
+        """The last place (0 if none) where a piece may be cut, and whether that is
+        inside a word. No composition, special string or contraction lies across it; after a
+        special string any place will do."""
+        if not self.cuttable:
+            return 0, False
+        a = ""
+        for at in range(len(text) - 1, -1, -1):
+            a, b, after = _kind(text[at]), a, text[at + 1 : at + 2]
+            if after and text.endswith(self.added, 0, at + 1):
+                return at + 1, False
+            inside = a == b and a in ("L", "S") or b == "S" and text[at] == "'"
+            if not inside and not (b == "N" and a in ("L", "N", "W") or b == "L" and a in ("N", "W")):
+                continue
+            if a == "L" and "'" in text[max(at - 2, 0) : at + 1] or after in self.opening:
+                continue
+            if text.endswith(self.begun, 0, at + 1):
+                continue
+            return at + 1, inside
+        return 0, False
+
+    def read(self, text: str, word: OpenWord | None, inside: bool) -> tuple[int, OpenWord | None]:
+        """The change in the count by a part of a piece that ``word`` goes on into, and
+        the word left open if the part ends ``inside`` one."""
+        found = len(self.special.findall(text))
+        machine, words = self.machine, []
+        for part in self.special.split(text):
+            words += [w for w, _ in self.split(self.normalise(part))]
+        if word:
+            state, change = machine.advance(word.state, word.symbol + words[0][:-1])
+            word = OpenWord(state, words[0][-1])
+            found += change
+            if len(words) == 1 and inside:
+                return found, word
+            found += machine.finish(*word)
+            words = words[1:]
+        if not inside:
+            return found + sum(map(machine.count, words)), None
+        state, change = machine.advance(machine.first, words[-1][:-1])
+        found += sum(map(machine.count, words[:-1])) + change
+        return found, OpenWord(state, words[-1][-1])
+
+
+class OpenPiece:
+    """What is left open between two chunks: the piece that no white space has ended yet.
+
+    Text is held until a chunk's worth has come, then all before the last safe cut is
+    read and only the transducer's state is kept. Where no cut is safe (runs of
+    combining marks or apostrophes, other splitters) the text itself is held, as a list of
+    parts.
+    """
+
+    def __init__(self, machine: PieceCounts, chunk: int) -> None:
+        self.machine, self.chunk = machine, chunk
+        self.parts: list[str] = []
+        self.held, self.next = 0, chunk
+        self.total = 0
+        self.begun = False
+        self.word: OpenWord | None = None
+
+    def add(self, text: str) -> None:
+        self.parts.append(text)
+        self.held += len(text)
+        if self.held < self.next:
+            return
+        whole = "".join(self.parts)
+        at, inside = self.machine.safe_cut(whole)
+        if at:
+            count, self.word = self.machine.read(whole[:at], self.word, inside)
+            self.total += count
+            self.begun = True
+            whole = whole[at:]
+        # Asked again when what is held has doubled, so that no text is searched often.
+        self.parts, self.held = [whole], len(whole)
+        self.next = max(self.chunk, 2 * self.held)
+
+    def close(self, text: str) -> int:
+        """The piece's count, ``text`` being its end; opens an empty piece."""
+        whole, total = "".join([*self.parts, text]), self.total
+        if self.begun:
+            total += self.machine.read(whole, self.word, False)[0]
+        else:
+            total += self.machine.values([whole])
+        self.__init__(self.machine, self.chunk)
+        return total
 
 
 def count_text(text: str, machine: PieceCounts, chunk: int = CHUNK_CHARS) -> int:
-    maps = [chunk_map(text[i : i + chunk], machine) for i in range(0, len(text), chunk)]
-    if not maps:
-        return 0
-    last = scan(maps, machine)[-1]
-    return machine.values([last.head]) + last.count + machine.values([last.tail])
+    """Chunks are read in order, each from the state that the one before leaves."""
+    total, piece = 0, OpenPiece(machine, chunk)
+    for i in range(0, len(text), chunk):
+        parts = pieces(text[i : i + chunk])
+        if len(parts) > 1:
+            total += piece.close(parts[0]) + machine.values(parts[1:-1])
+        piece.add(parts[-1])
+    return total + piece.close("")
 
 
 @cache

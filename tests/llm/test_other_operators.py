@@ -197,3 +197,15 @@ def test_pipeline(spark, tokenizer):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert bag(last) == bag(brute.token_digest([(r[0], r[1]) for r in mixed], tokenizer))
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("unit", ["日本語の文", "x=f(a)\t", "'ll<|endoftext|>=", "7", "🙂'"])
+def test_a_long_open_piece_is_not_held(unit, tokenizer):
+    machine, text = token_counts.PieceCounts(TOKENIZER), unit * 400
+    for chunk in (16, 64):
+        piece = token_counts.OpenPiece(machine, chunk)
+        for i in range(0, len(text), chunk):
+            piece.add(text[i : i + chunk])
+            assert piece.held <= 4 * chunk
+        want = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert piece.close("") == want == token_counts.count_text(text, machine, chunk)
