@@ -73,6 +73,7 @@ BOOSTED_TREES = {
     "colsample": 0.8,
     "min_child_weight": 10,
     "random_state": 42,
+    "patience": 30,
 }
 
 # --- fixed values: reason texts --------------------------------------------

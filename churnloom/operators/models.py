@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -17,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnloom import fixed
+from churnloom.functions.running import running_sums
 from churnloom.operators import evaluation
-from churnloom.session import stored
+from churnloom.session import scratch, stored
 
 VALIDATION_SHARE = 10  # per cent of the training users watched for early stopping
 HIDDEN_LAYERS = [100, 50, 25]
@@ -61,7 +64,6 @@ def boosted_trees(**overrides) -> GBTClassifier:
         subsamplingRate=p["subsample"],
         featureSubsetStrategy=str(p["colsample"]),
         minInstancesPerNode=p["min_child_weight"],
-        validationTol=0.0,
         seed=p["random_state"],
     )
 
@@ -106,31 +108,105 @@ def neural_net(max_iter: int = 100, hidden: Sequence[int] = tuple(HIDDEN_LAYERS)
     return Pipeline(stages=[scale, net])
 
 
-def fit_boosted(train: DataFrame, patience: int | None = None, **overrides) -> Model:
+def _read_trees(spark: SparkSession, path: str) -> list[tuple[np.ndarray, ...]]:
+    """Per tree of a saved model: feature, threshold, left and right child, value of
+    each node; a leaf is its own child. The size depends on trees and depth, not on data."""
+    nodes = spark.read.parquet(f"{path}/data").select(
+        "treeID",
+        "nodeData.id",
+        "nodeData.prediction",
+        "nodeData.leftChild",
+        "nodeData.rightChild",
+        "nodeData.split.featureIndex",
+        F.get("nodeData.split.leftCategoriesOrThreshold", 0).alias("threshold"),
+    )
+    trees: dict[int, list] = {}
+    for row in nodes.collect():
+        trees.setdefault(row.treeID, []).append(row)
+    found = []
+    for _, rows in sorted(trees.items()):
+        rows.sort(key=lambda r: r.id)
+        inner = [r.leftChild >= 0 for r in rows]
+        found.append((
+            np.array([r.featureIndex if i else 0 for r, i in zip(rows, inner)]),
+            np.array([r.threshold if i else np.inf for r, i in zip(rows, inner)]),
+            np.array([r.leftChild if i else r.id for r, i in zip(rows, inner)]),
+            np.array([r.rightChild if i else r.id for r, i in zip(rows, inner)]),
+            np.array([r.prediction for r in rows]),
+        ))
+    return found
+
+
+def round_auc(model: Model, watched: DataFrame) -> list[float]:
+    """Area under the ROC curve on the watched rows after each round, ties half; exact."""
+    spark = watched.sparkSession
+    path = scratch(spark, "rounds")
+    model.write().overwrite().save(path)
+    shared = spark.sparkContext.broadcast((_read_trees(spark, path), list(model.treeWeights)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees, weights = shared.value
+        for batch in batches:
+            x, margin, each = batch[fixed.FEATURES].to_numpy(float), np.zeros(len(batch)), np.arange(len(batch))
+            for k, (feature, threshold, left, right, value) in enumerate(trees):
+                at = np.zeros(len(batch), int)
+                while True:
+                    below = np.where(x[each, feature[at]] <= threshold[at], left[at], right[at])
+                    if (below == at).all():
+                        break
+                    at = below
+                margin = margin + weights[k] * value[at]
+                yield pd.DataFrame({"round": k, "margin": margin, "y": batch[fixed.LABEL].to_numpy()})
+
+    features = [F.col(c).cast("double").alias(c) for c in fixed.FEATURES]
+    margins = watched.select(*features, F.col(fixed.LABEL).cast("int").alias(fixed.LABEL)).mapInPandas(
+        run, "round int, margin double, y int"
+    )
+    ties = margins.groupBy("round", "margin").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
+    )
+    running = running_sums(ties, "margin", ["pos", "neg"], ["round"])
+    pairs = F.sum(F.col("neg") * (2 * (F.col("all_pos") - F.col("cum_pos")) + F.col("pos")))
+    possible = 2.0 * F.max("all_pos") * F.max("all_neg")
+    rows = running.groupBy("round").agg((pairs / possible).alias("auc")).collect()
+    return [r.auc for r in sorted(rows)]
+
+
+def _best_round(values: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The number of rounds with the best value, and whether ``patience`` rounds
+    without a better one followed; later rounds are not looked at."""
+    best = 0
+    for k, value in enumerate(values):
+        if value > values[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_boosted(
+    train: DataFrame, patience: int = fixed.BOOSTED_TREES["patience"], **overrides
+) -> Model:
     """Fit the main model with early stopping.
 
     Rows for early stopping come out of the training users, so the test users stay
-    unseen. Without ``patience`` the fit ends at the first round that does not lower
-    the loss on the watched users. With it, fitting goes on until that loss has not
-    improved for ``patience`` rounds, and the best number of rounds is kept: the first
-    rounds do not depend on how many follow, so their number is doubled and refitted,
-    which costs up to three times the trees.
+    unseen. Fitting goes on until the area under the ROC curve on the watched users has
+    not improved for ``patience`` rounds, and the best number of rounds is kept: the
+    first rounds do not depend on how many follow, so their number is doubled and
+    refitted, which costs up to three times the trees. Without watched users of both
+    classes there is nothing to watch and all rounds are kept.
     """
     held = _held_out(VALIDATION_SHARE)
     rows = assembled(weighted(train).withColumn("validation", held))
     asked = overrides.get("n_estimators", fixed.BOOSTED_TREES["n_estimators"])
     watched = rows.where("validation")
-    if watched.isEmpty():
+    if watched.select(fixed.LABEL).distinct().count() < 2:
         return boosted_trees(**overrides).fit(rows)
-    if patience is None:
-        stopping = boosted_trees(**overrides)
-        return stopping.setValidationIndicatorCol("validation").fit(rows)
     fitted, rounds = rows.where("not validation"), min(asked, 2 * patience)
     while True:
         model = boosted_trees(**{**overrides, "n_estimators": rounds}).fit(fitted)
-        losses = model.evaluateEachIteration(watched)
-        best = 1 + min(range(len(losses)), key=losses.__getitem__)
-        if rounds == asked or rounds - best >= patience:
+        best, ended = _best_round(round_auc(model, watched), patience)
+        if ended or rounds == asked:
             break
         rounds = min(asked, 2 * rounds)
     if best == rounds:

@@ -35,7 +35,7 @@ def train(
     cut: date = fixed.SPLIT_DATE,
     fit_on_train_only: bool = False,
     runs: str | None = None,
-    patience: int | None = None,
+    patience: int = fixed.BOOSTED_TREES["patience"],
     **parameters,
 ) -> Artefacts:
     """Prepare, split out of time, fit, evaluate on the later users, save.
@@ -57,7 +57,7 @@ def train(
         spark, {**config, "feature_cols": fixed.FEATURES, "run_id": run_id}, f"{path}/config"
     )
     if runs:
-        kept = {"trees_kept": model.getNumTrees, "artefacts": path}
+        kept = {"patience": patience, "trees_kept": model.getNumTrees, "artefacts": path}
         models.log_run(spark, runs, run_id, {**fixed.BOOSTED_TREES, **parameters, **measured, **kept})
     return Artefacts(model, config, list(fixed.FEATURES), path, run_id, measured)
 

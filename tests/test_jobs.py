@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnloom import fixed
-from churnloom.operators import cleaning, models
+from churnloom.operators import cleaning, evaluation, models
 from churnloom.plans import batch, scoring
 from churnloom.plans.workspace import Workspace
 from churnloom.sources import tables
@@ -194,3 +194,17 @@ def test_boosting_keeps_more_than_a_few_trees(spark):
     assert 5 < stopped.getNumTrees <= 60
     patient = models.fit_boosted(rows, 5, n_estimators=30, max_depth=2)
     assert 5 < patient.getNumTrees <= 30
+
+
+def test_boosting_waits_thirty_rounds_for_a_better_auc(spark):
+    assert models._best_round([0.5, 0.7, 0.6, 0.65, 0.9], 2) == (2, True)
+    assert models._best_round([0.5, 0.7, 0.7, 0.8], 3) == (4, False)
+    rows = _with_signal(spark, 800)
+    kept = models.fit_boosted(rows, n_estimators=40, max_depth=2)
+    watched = models.assembled(rows.where(models._held_out(models.VALIDATION_SHARE)))
+    fitted = models.assembled(models.weighted(rows).where(~models._held_out(models.VALIDATION_SHARE)))
+    whole = models.boosted_trees(n_estimators=40, max_depth=2).fit(fitted)
+    found = models.round_auc(whole, watched)
+    scored = models.score(watched.drop("features"), whole).withColumnRenamed("churn_probability", "score")
+    assert found[-1] == pytest.approx(evaluation.auc(evaluation.threshold_counts(scored)).first().auc_roc)
+    assert len(found) == 40 and kept.getNumTrees == models._best_round(found, 30)[0]
