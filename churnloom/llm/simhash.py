@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.llm.common import texts
+from churnloom.llm.common import same, texts
 from churnloom.llm.components import components
 from churnloom.session import stored
 
@@ -62,18 +62,23 @@ def fingerprint(text: str, width: int = WIDTH) -> int:
     return int(np.bitwise_or.reduce(np.uint64(1) << bits.astype(np.uint64), initial=np.uint64(0)))
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and fingerprint as a (signed) bigint, a row for each row."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, keyed: bool = False) -> DataFrame:
+    """doc_id and fingerprint as a (signed) bigint, a row for each row; if ``keyed``, also
+    th, the hash of the text, which with doc_id names a row of ``docs``."""
+    kept = ["doc_id", "th"] if keyed else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), width) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))],
-                names=["doc_id", "fp"],
+                [*[batch.column(c) for c in kept], pa.array(np.array(fps, np.uint64).view(np.int64))],
+                names=[*kept, "fp"],
             )
 
-    return texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = texts(docs)
+    if keyed:
+        rows = rows.withColumn("th", F.xxhash64("text"))
+    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*kept, "fp"]))
 
 
 def _mask(segment: int) -> int:
@@ -139,14 +144,19 @@ def groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, once each.
-
-    Rows without a doc_id cannot be told apart and all stay.
-    """
-    found = groups(docs, width).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")
+    """One row of ``docs`` of each group: the smallest doc_id (null last), of equal ones
+    the smallest hash of the text."""
+    rows = stored(fingerprints(docs, width, keyed=True), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
+    first = stored(rows.groupBy("fp").agg(F.min(place).alias("first")), "firsts")
+    joined = stored(components(links(first.select("fp"))), "roots")
+    least = (
+        first.join(joined, F.col("fp") == F.col("node"), "left")
+        .groupBy(F.coalesce("root", "fp").alias("root"))
+        .agg(F.min("first").alias("first"))
     )
-    kept = stored(found.distinct(), "kept")
-    named = docs.where(F.col("doc_id").isNotNull())
-    rows = named.join(kept, named["doc_id"].cast("bigint") == kept["_kept"], "left_semi")
-    return rows.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = least.select(F.col("first.doc_id").alias("_kept"), F.col("first.th").alias("_kept_text"))
+    kept = stored(kept, "kept")
+    keyed = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    match = same(keyed["doc_id"].cast("bigint"), kept["_kept"]) & (keyed["_text"] == kept["_kept_text"])
+    return keyed.join(kept, match, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
