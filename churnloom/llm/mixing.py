@@ -102,11 +102,12 @@ def copies(docs: DataFrame, weights: dict[str | None, float] | None = None,
     )
 
 
+def shuffled(docs: DataFrame, **options) -> DataFrame:
+    """Copies in global order, with ``_copy`` and ``_order``: ranges of a random key,
+    sorted within."""
+    return copies(docs, **options).repartitionByRange("_order").sortWithinPartitions("_order")
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Copies in global order: ranges of a random key, sorted within."""
-    return (
-        copies(docs, **options)
-        .repartitionByRange("_order")
-        .sortWithinPartitions("_order")
-        .select(*docs.columns)
-    )
+    """Copies in global order, with the columns of ``docs``."""
+    return shuffled(docs, **options).select(*docs.columns)

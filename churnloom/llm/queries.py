@@ -22,7 +22,7 @@ from churnloom.llm import (
 )
 from churnloom.llm.common import table
 from churnloom.llm.oracle import SQL as SQL
-from churnloom.session import scratch
+from churnloom.session import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,8 +82,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    drawn = mixing.copies(docs).repartitionByRange("_order").sortWithinPartitions("_order")
+    # Stored, so that whole documents are repeated and shuffled, not ids alone.
+    drawn = stored(mixing.shuffled(table(spark, sf_dir, "documents")), "mixed")
     return drawn.select(
         "doc_id", "source", F.col("_copy").cast("bigint").alias("copy"), F.col("_order").alias("position")
     )
