@@ -280,7 +280,8 @@ def read_ids(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
     if not wanted:
         return spark.createDataFrame([], "doc_id bigint, ids array<bigint>")
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    near = (F.col("first_doc") <= max(wanted)) & (F.col("last_doc") >= min(wanted))
+    # Null ids sort first, so a block that begins with one may hold any smaller id.
+    near = F.coalesce(F.col("first_doc") <= max(wanted), F.lit(True)) & (F.col("last_doc") >= min(wanted))
     return (
         blocks.where(near)
         .where(F.arrays_overlap("doc_ids", F.array(*[F.lit(d).cast("bigint") for d in sorted(wanted)])))
