@@ -132,13 +132,15 @@ def _occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     )
     prefix = stored(prefix, "prefixes")
     n_prefix = prefix.count()
+    # Only the words of windows with a prefix, so that the count bounds them too.
+    needed = stored(windows.select("wid", "ws").join(prefix, "wid", "left_semi"), "prefix-words")
     start = F.col("pos") - F.col("offset")
     bounds = (F.col("q.h") == F.col("p.h")) & (start >= 0) & (start + F.col("size") <= F.col("n"))
     candidates = (
         hits.alias("q")
         .join(_bounded(prefix, n_prefix).alias("p"), bounds)
         .select("doc_id", "th", start.alias("start"), "size", "wid")
-        .join(_bounded(windows.select("wid", "ws"), n_prefix), "wid")
+        .join(_bounded(needed, n_prefix), "wid")
         .groupBy("doc_id", "th")
         .agg(F.collect_set(F.struct("start", "size", "wid", "ws")).alias("found"))
     )
