@@ -14,7 +14,8 @@ not in one task, and formatted ``SEGMENT`` messages to a row. Of a passage that
 messages wrote only the first is joined, so links do not multiply.
 
 Defined results: null text is empty, null role ``unknown``, null turn comes first; null
-conv_id is one conversation; repeated rows are one message; messages with equal turns
+conv_id is one conversation; repeated rows are one message, but not where turn or
+conv_id is null, since they may be different messages; messages with equal turns
 are ordered by their hash and do not link to each other; an empty table gives an empty
 table; other columns are ignored.
 """
@@ -50,15 +51,25 @@ def unquoted(text: Column) -> Column:
 
 
 def messages(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn, mid (hash of role and text), role, text; repeated rows once."""
+    """conv_id, turn, mid (hash of role and text), role, text and ``copies``: repeated rows
+    are one message, but where turn or conv_id is null each row is one."""
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.coalesce(F.col("turn").cast("bigint"), F.lit(-(2**62))).alias("turn"),
         F.coalesce("role", F.lit("unknown")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
+        (F.col("conv_id").isNull() | F.col("turn").isNull()).alias("loose"),
     )
     mid = F.sha2(F.concat_ws("\x00", "role", "text"), 256)
-    return rows.withColumn("mid", mid).dropDuplicates(["conv_id", "turn", "mid"])
+    return (
+        rows.withColumn("mid", mid)
+        .groupBy(*_KEYS)
+        .agg(
+            F.first("role").alias("role"),
+            F.first("text").alias("text"),
+            F.when(F.bool_or("loose"), F.count("*")).otherwise(F.lit(1).cast("bigint")).alias("copies"),
+        )
+    )
 
 
 def passages(rows: DataFrame) -> DataFrame:
@@ -159,10 +170,13 @@ def ordered(conversations: DataFrame) -> DataFrame:
             F.coalesce("p.n_linked", zero).alias("n_linked"),
             unquoted(F.col("r.text")).alias("body"),
             F.concat(number(root), number(F.col("r.turn")), F.col("r.mid")).alias("place"),
-            F.lit(1).cast("bigint").alias("one"),
+            F.col("r.copies").alias("one"),
         )
     )
-    return running_sums(joined, "place", ["one"], ["conv_id"])
+    placed = running_sums(joined, "place", ["one"], ["conv_id"])
+    # Equal messages that are no repeats follow each other.
+    each = F.explode(F.sequence(F.col("cum_one") - F.col("one") + 1, F.col("cum_one")))
+    return placed.withColumn("cum_one", each).withColumn("one", F.lit(1).cast("bigint"))
 
 
 def formatted(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
