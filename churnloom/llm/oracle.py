@@ -159,10 +159,139 @@ CHAT = rf"""
     FROM s GROUP BY conv_id, k // {chat.SEGMENT}
 """
 
+_FIELDS = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n}", "text")
+)
+#: CRC-32 of the decimal doc_id, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), generate_series(1, 8)),
+        lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+MERKLE = f"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, lang, sha256({_FIELDS.format(n="n_chars")}) AS leaf,
+            CASE WHEN n_chars IS NOT NULL AND {_CRC} % 7 = 0
+                THEN sha256({_FIELDS.format(n="(n_chars + 1)")}) END AS given
+        FROM documents
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY lang) AS n
+        FROM docs
+    ),
+    grown AS (
+        SELECT lang, 0 AS lvl, pos, n, leaf AS h FROM placed
+        UNION ALL
+        SELECT lang, lvl + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos))
+        FROM grown WHERE n > 1 GROUP BY lang, lvl, pos // 2
+    ),
+    subroots AS (
+        SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM grown WHERE n = 1
+    ),
+    top AS (
+        SELECT 0 AS lvl, pos, n, h FROM subroots
+        UNION ALL
+        SELECT lvl + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos))
+        FROM top WHERE n > 1 GROUP BY lvl, pos // 2
+    ),
+    steps AS (
+        SELECT p.lang, p.pos, g.lvl, (p.pos >> g.lvl) % 2 = 1 AS ahead, coalesce(s.h, '') AS sibling
+        FROM placed p
+        JOIN grown g ON g.lang IS NOT DISTINCT FROM p.lang AND g.n > 1 AND g.pos = p.pos >> g.lvl
+        LEFT JOIN grown s ON s.lang IS NOT DISTINCT FROM p.lang AND s.lvl = g.lvl AND s.pos = xor(p.pos >> g.lvl, 1)
+        UNION ALL
+        SELECT p.lang, p.pos, 1000 + g.lvl, (r.pos >> g.lvl) % 2 = 1, coalesce(s.h, '')
+        FROM placed p
+        JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+        JOIN top g ON g.n > 1 AND g.pos = r.pos >> g.lvl
+        LEFT JOIN top s ON s.lvl = g.lvl AND s.pos = xor(r.pos >> g.lvl, 1)
+    ),
+    paths AS (
+        SELECT lang, pos, string_agg(sibling, '' ORDER BY lvl) AS proof,
+            list(CASE WHEN ahead THEN '<' ELSE '>' END || sibling ORDER BY lvl) AS path
+        FROM steps GROUP BY lang, pos
+    ),
+    folded AS (
+        SELECT p.doc_id, p.leaf, r.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root,
+            sha256(coalesce(w.proof, '')) AS proof_sha256,
+            list_reduce(list_prepend(coalesce(p.given, p.leaf), coalesce(w.path, [])),
+                lambda x, s: sha256(CASE WHEN s[1] = '<' THEN s[2:] || x ELSE x || s[2:] END)) AS folded_root
+        FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+        LEFT JOIN paths w ON w.lang IS NOT DISTINCT FROM p.lang AND w.pos = p.pos
+    )
+    SELECT *, folded_root = root AS verified FROM folded
+"""
+
+#: Every pair of different sets that share a shingle, and the least reachable doc_id.
+MINHASH = """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ),
+    docs AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+            generate_series(1, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+        FROM w
+    ),
+    classes AS (
+        SELECT min(doc_id) AS id, len(s) AS n, s, list(doc_id) AS members FROM docs WHERE len(s) > 0 GROUP BY s
+    ),
+    shingles AS (SELECT id, n, unnest(s) AS x FROM classes),
+    links AS (
+        SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.id < b.id
+        GROUP BY a.id, a.n, b.id, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ),
+    pairs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+        SELECT id AS x, id AS y FROM classes
+        UNION
+        SELECT r.x, e.b FROM reach r JOIN pairs e ON r.y = e.a
+    ),
+    least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+    found AS (
+        SELECT unnest(c.members) AS doc_id, c.n AS n_shingles, l.component_id FROM classes c JOIN least l ON l.x = c.id
+        UNION ALL
+        SELECT doc_id, 0, doc_id FROM docs WHERE len(s) = 0
+    )
+    SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM found
+"""
+
+HARD_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, a.label = r.label AS alike, r.vec_id AS other_id,
+            list_dot_product(a.v, r.v)::BIGINT AS score
+        FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+    ),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+        (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id))::INTEGER AS rank,
+        s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+        AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 3
+"""
+
 SQL = {
     "op1_secret_ledger": _secrets(),
     "op2_decontamination": CONTAMINATION,
     "op6_substring_dedup": SUBSTRING,
     "op9_chat_format": CHAT,
     "op10_mixing": MIXING,
+    "op11_merkle_manifest": MERKLE,
+    "op12_minhash": MINHASH,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from churnloom.llm import (
     chat,
     decontamination,
+    hard_negatives,
+    merkle,
+    minhash,
     mixing,
     quality_classifier,
     quality_rules,
@@ -89,6 +92,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_decontamination": op2_decontamination,
@@ -100,4 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_minhash": op12_minhash,
+    "op13_hard_negatives": op13_hard_negatives,
 }

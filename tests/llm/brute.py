@@ -123,3 +123,97 @@ def token_digest(docs, tokenizer, end_id=2):
         out.append((doc_id, start, len(ids), zlib.crc32(raw)))
         start += len(ids)
     return out
+
+
+def merkle(rows):
+    """[(doc_id, source, lang, n_chars, text)] -> rows of the contract."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    trees = defaultdict(list)
+    for d, s, g, n, t in rows:
+        leaf = SHA("".join(map(field, (d, s, g, n, t))))
+        hit = d is not None and n is not None and zlib.crc32(str(d).encode()) % 7 == 0
+        given = SHA("".join(map(field, (d, s, g, n + 1, t)))) if hit else leaf
+        trees[g].append((d is not None, d or 0, leaf, given))
+
+    def grow(level):
+        levels = [level]
+        while len(level) > 1:
+            level = [SHA("".join(level[i : i + 2])) for i in range(0, len(level), 2)]
+            levels.append(level)
+        return levels
+
+    def path(levels, i):
+        for level in levels[:-1]:
+            yield level[i ^ 1] if (i ^ 1) < len(level) else "", i % 2
+            i //= 2
+
+    order = sorted(trees, key=lambda g: (g is not None, (g or "").encode()))
+    grown = {g: grow([x[2] for x in sorted(trees[g])]) for g in order}
+    top = grow([grown[g][-1][0] for g in order])
+    out = []
+    for k, g in enumerate(order):
+        for i, (named, d, leaf, given) in enumerate(sorted(trees[g])):
+            steps = [*path(grown[g], i), *path(top, k)]
+            got = given
+            for sibling, ahead in steps:
+                got = SHA(sibling + got if ahead else got + sibling)
+            proof = SHA("".join(s for s, _ in steps))
+            out.append((d if named else None, leaf, grown[g][-1][0], top[-1][0], proof, got, got == top[-1][0]))
+    return out
+
+
+def minhash_groups(docs, width=5):
+    """[(doc_id, text)] -> rows of the contract, by all pairs of different sets."""
+    sets = []
+    for _, text in docs:
+        w = SPACE_WORD.findall((text or "").translate(LOWER))
+        k = min(width, len(w))
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    distinct = [s for s in dict.fromkeys(sets) if s]
+    root = {s: s for s in distinct}
+
+    def find(x):
+        while root[x] is not x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            if 100 * len(a & b) >= 85 * len(a | b):
+                root[find(a)] = find(b)
+    least = {}
+    for (d, _), s in zip(docs, sets):
+        if s and d is not None:
+            r = find(s)
+            least[r] = min(d, least.get(r, d))
+    out = []
+    for (d, _), s in zip(docs, sets):
+        c = least.get(find(s)) if s else d
+        out.append((d, len(s), c, d is not None and d == c))
+    return out
+
+
+def hard_negatives(rows, n_positives=5, n_negatives=3):
+    """[(vec_id, embedding, label)] -> rows of the contract; a row is no candidate of itself only."""
+    from math import floor, isfinite
+
+    vs = []
+    for vec_id, v, label in rows:
+        if label is None or v is None or any(x is None or not isfinite(x) for x in v):
+            continue
+        if vec_id is not None and vec_id % 7 == 0:
+            label = (label + 1) % 10
+        vs.append((vec_id, label, [floor(256.0 * x) for x in v]))
+    order = lambda x: (-x[0], x[1] is None, x[1])
+    out = []
+    for i, (anchor, label, a) in enumerate(vs):
+        if anchor is None or anchor % 50:
+            continue
+        alike, unlike = [], []
+        for j, (vec_id, other, b) in enumerate(vs):
+            if i != j:
+                (alike if other == label else unlike).append((sum(x * y for x, y in zip(a, b)), vec_id))
+        for p, pid in sorted(alike, key=order)[:n_positives]:
+            fit = sorted((x for x in unlike if 50 * p <= 100 * x[0] <= 95 * p), key=order)[:n_negatives]
+            out += [(anchor, pid, k, nid, p, s) for k, (s, nid) in enumerate(fit, 1)]
+    return out
