@@ -61,6 +61,16 @@ def number_or_null(c: Column | str) -> Column:
     return F.nanvl(_col(c), F.lit(None).cast("double"))
 
 
+#: Money and seconds while they are added up: sums do not depend on the order.
+EXACT = "decimal(28,9)"
+EXACT_TOTAL = "decimal(38,9)"
+
+
+def exact(c: Column | str) -> Column:
+    """A number with nine decimal places; null beyond 10**19 and for NaN."""
+    return _col(c).try_cast(EXACT)
+
+
 def zero_if_null(c: Column | str) -> Column:
     return F.coalesce(_col(c), F.lit(0))
 

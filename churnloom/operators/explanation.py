@@ -1,9 +1,13 @@
 """Feature contributions of boosted trees (path-dependent Shapley values).
 
-For one leaf, only the features on its path matter, and a row enters only
-through which of their conditions it meets. A path of d features has 2^d such
-patterns, so the contributions of a leaf are a small table looked up by pattern.
-The model is small; the rows are spread over tasks and handled in Arrow batches.
+For one leaf, only the features on its path matter, and a row enters only through which
+of their conditions it meets. The subsets of the path's features are never listed: their
+weights, summed by size, are the coefficients of a product with one factor for each
+feature. A path is extended by multiplying a factor in, and a feature is unwound by
+dividing its own out, so a path of d features costs d * d steps whatever its depth. Rows
+of a batch that meet the same conditions are computed once; the values of short paths are
+remembered up to a bound. The model is small; the rows are spread over tasks and handled
+in Arrow batches.
 
 Method: Lundberg et al., "Consistent Individualized Feature Attribution for Tree
 Ensembles", 2018.
@@ -14,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from math import factorial
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -26,9 +30,8 @@ from churnloom import fixed
 
 # The classifier's log-odds are twice its raw margin.
 LOG_ODDS_PER_MARGIN = 2.0
-# A leaf's table has 2**d rows of d numbers for d different features on its path, so a
-# leaf costs 0.4 MB at most. Trees of this depth or less always fit.
-MOST_ON_A_PATH = 12
+# Contributions (numbers) of all patterns of short paths that a worker remembers.
+REMEMBERED = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -86,42 +89,62 @@ def base_value(leaves: tuple[Leaf, ...]) -> float:
     return float(sum(leaf.value * np.prod(leaf.share) for leaf in leaves))
 
 
-def _pattern_table(leaf: Leaf) -> np.ndarray:
-    """Contribution of each path feature for each pattern of met conditions."""
-    d = len(leaf.features)
-    if d > MOST_ON_A_PATH:
-        raise ValueError(f"{d} features on a path; tables are made for {MOST_ON_A_PATH} at most")
-    met = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
-    z = np.asarray(leaf.share)
-    weight = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
-    table = np.empty((2**d, d))
-    for i in range(d):
-        # by_size[:, k]: sum over the sets of k other features counted as known.
-        by_size = np.zeros((2**d, d))
-        by_size[:, 0] = 1.0
-        for j in (j for j in range(d) if j != i):
-            known = np.roll(by_size, 1, axis=1) * met[:, [j]]
-            known[:, 0] = 0.0
-            by_size = by_size * z[j] + known
-        table[:, i] = leaf.value * (met[:, i] - z[i]) * (by_size @ weight)
-    return table
+def path_contributions(met: np.ndarray, share: np.ndarray, value: float) -> np.ndarray:
+    """Contributions of a path's features (columns) for rows of met conditions.
+
+    ``whole[:, k]`` is the summed weight of the subsets of k known features. Divided by a
+    feature's own factor (its share, plus a known one if its condition is met) it is that
+    of the subsets without the feature, from the largest size down.
+    """
+    n, d = met.shape
+    met = met.astype(bool)
+    whole = np.zeros((n, d + 1))
+    whole[:, 0] = 1.0
+    for j in range(d):
+        known = np.where(met[:, [j]], whole[:, :-1], 0.0)
+        whole *= share[j]
+        whole[:, 1:] += known
+    divisor = np.where(share > 0, share, 1.0)
+    without = np.zeros((n, d))
+    total = np.zeros((n, d))
+    for k in range(d - 1, -1, -1):
+        without = np.where(met, whole[:, [k + 1]] - share * without, whole[:, [k]] / divisor)
+        total += without / (d * comb(d - 1, k))
+    return value * (met - share) * total
 
 
 @lru_cache(maxsize=4)
-def _tables(leaves: tuple[Leaf, ...]) -> list[np.ndarray]:
-    return [_pattern_table(leaf) for leaf in leaves if leaf.features]
+def _remembered(leaves: tuple[Leaf, ...]) -> dict[int, np.ndarray]:
+    """By the leaf's place: the contributions for every pattern of met conditions, of the
+    shortest paths."""
+    found, numbers = {}, 0
+    for k in sorted(range(len(leaves)), key=lambda k: len(leaves[k].features)):
+        d = len(leaves[k].features)
+        numbers += d * 2**d
+        if numbers > REMEMBERED:
+            break
+        patterns = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
+        found[k] = path_contributions(patterns, np.asarray(leaves[k].share), leaves[k].value)
+    return found
 
 
 def contributions(x: np.ndarray, leaves: tuple[Leaf, ...]) -> np.ndarray:
     """Contributions (rows x features) of a block of rows."""
     out = np.zeros(x.shape)
-    with_path = [leaf for leaf in leaves if leaf.features]
-    for leaf, table in zip(with_path, _tables(leaves)):
+    known = _remembered(leaves)
+    for k, leaf in enumerate(leaves):
+        if not leaf.features:
+            continue
         used = list(leaf.features)
         block = x[:, used]
         met = (block > np.asarray(leaf.low)) & (block <= np.asarray(leaf.high))
-        pattern = met @ (1 << np.arange(len(used)))
-        out[:, used] += table[pattern]
+        if k in known:
+            out[:, used] += known[k][met @ (1 << np.arange(len(used)))]
+        else:
+            packed = np.packbits(met, axis=1)
+            _, first, which = np.unique(packed, axis=0, return_index=True, return_inverse=True)
+            values = path_contributions(met[first], np.asarray(leaf.share), leaf.value)
+            out[:, used] += values[which.reshape(-1)]
     return out
 
 

@@ -1,4 +1,8 @@
-"""Per-user feature tables: batch, per day, and running."""
+"""Per-user feature tables: batch, per day, and running.
+
+Money and seconds are added up as decimals and cast to double once, at the end, so that
+results do not depend on how rows are split among tasks.
+"""
 
 from __future__ import annotations
 
@@ -18,12 +22,19 @@ TOTALS = TRANSACTION_TOTALS + LOG_TOTALS
 MONEY_AND_TIME = {"total_amount_paid", "total_secs"}
 
 
+def _sum_and_mean(value: str, total: str, mean: str) -> list[Column]:
+    """Both as doubles, from one exact sum."""
+    exact = S.exact(value)
+    return [
+        F.sum(exact).cast("double").alias(total),
+        S.ratio(F.sum(exact), F.count(exact)).alias(mean),
+    ]
+
+
 def transaction_features(transactions: DataFrame) -> DataFrame:
-    paid = F.col("actual_amount_paid")
     return transactions.groupBy("msno").agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(paid).alias("total_amount_paid"),
-        F.mean(paid).alias("avg_amount_paid"),
+        *_sum_and_mean("actual_amount_paid", "total_amount_paid", "avg_amount_paid"),
         F.max("membership_expire_date").alias("latest_expire_date"),
         F.sum("is_auto_renew").alias("auto_renew_count"),
         F.sum("is_cancel").alias("cancel_count"),
@@ -32,12 +43,10 @@ def transaction_features(transactions: DataFrame) -> DataFrame:
 
 def log_features(logs: DataFrame) -> DataFrame:
     """``total_log_days`` counts rows, as the feature is defined."""
-    seconds = F.col("total_secs")
     plays = [F.sum(f"num_{p}").alias(f"total_num_{p}") for p in PLAYS]
     return logs.groupBy("msno").agg(
         F.count(F.lit(1)).alias("total_log_days"),
-        F.sum(seconds).alias("total_secs"),
-        F.mean(seconds).alias("avg_daily_secs"),
+        *_sum_and_mean("total_secs", "total_secs", "avg_daily_secs"),
         *plays,
     )
 
@@ -73,12 +82,16 @@ def _total(c: str) -> Column:
     return F.sum(S.zero_if_null(c))
 
 
+def _exact_total(c: str) -> Column:
+    return F.sum(S.zero_if_null(S.exact(c)))
+
+
 def daily_log_delta(records: DataFrame, day: str = "day") -> DataFrame:
     """Per (day, user) totals with null as 0, and the mean over all records."""
     plays = [_total(f"num_{p}").alias(f"total_num_{p}") for p in PLAYS]
     return (
         records.groupBy(F.col(day).alias("day"), "msno")
-        .agg(F.count(F.lit(1)).alias("total_log_days"), _total("total_secs").alias("total_secs"), *plays)
+        .agg(F.count(F.lit(1)).alias("total_log_days"), _exact_total("total_secs").alias("total_secs"), *plays)
         .withColumn("avg_daily_secs", S.ratio("total_secs", "total_log_days"))
     )
 
@@ -88,7 +101,7 @@ def daily_transaction_delta(records: DataFrame, day: str = "day") -> DataFrame:
         records.groupBy(F.col(day).alias("day"), "msno")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
-            _total("actual_amount_paid").alias("total_amount_paid"),
+            _exact_total("actual_amount_paid").alias("total_amount_paid"),
             _total("is_auto_renew").alias("auto_renew_count"),
             _total("is_cancel").alias("cancel_count"),
         )
@@ -102,14 +115,26 @@ def daily_delta(logs: DataFrame, transactions: DataFrame) -> DataFrame:
     return both.select(
         "day",
         "msno",
-        *[S.zero_if_null(c).cast(total_type(c)).alias(c) for c in TOTALS],
+        *[S.zero_if_null(c).cast(sum_type(c)).alias(c) for c in TOTALS],
     )
 
 
 def total_type(column: str) -> str:
+    """Type of a total in feature rows."""
     return "double" if column in MONEY_AND_TIME else "bigint"
 
 
+def sum_type(column: str) -> str:
+    """Type of a total that is still added to."""
+    return S.EXACT_TOTAL if column in MONEY_AND_TIME else "bigint"
+
+
+def _known(column: str, name: str) -> Column:
+    """A total as it is stored (double or exact), as it is added to; null as 0."""
+    value = F.col(name)
+    return S.zero_if_null(value.try_cast(S.EXACT_TOTAL) if column in MONEY_AND_TIME else value)
+
+
 def active_users(logs: DataFrame, transactions: DataFrame) -> DataFrame:
     """(day, user) of everyone seen in either topic; kept as rows, not as lists."""
     return logs.select("day", "msno").union(transactions.select("day", "msno")).distinct()
@@ -137,7 +162,8 @@ def cumulative_features(delta: DataFrame, baseline: DataFrame, order: str = "day
         "msno", *fixed.DEMOGRAPHICS, *[F.col(c).alias(f"base_{c}") for c in TOTALS]
     )
     totals = [
-        (S.zero_if_null(f"base_{c}") + F.sum(c).over(so_far)).cast(total_type(c)).alias(c) for c in TOTALS
+        (_known(c, f"base_{c}") + F.sum(_known(c, c)).over(so_far)).cast(sum_type(c)).alias(c)
+        for c in TOTALS
     ]
     keep = [c for c in delta.columns if c not in TOTALS]
     summed = delta.join(known, "msno", "left").select(*keep, *fixed.DEMOGRAPHICS, *totals)
@@ -154,18 +180,19 @@ def as_feature_rows(totals: DataFrame, keep: list[str]) -> DataFrame:
         }
     )
     extra = [c for c in keep if c != "msno"]
-    return full.select("msno", "event_timestamp", *fixed.FEATURES, *extra)
+    named = [F.col(c).cast("double").alias(c) if c in MONEY_AND_TIME else c for c in fixed.FEATURES]
+    return full.select("msno", "event_timestamp", *named, *extra)
 
 
 def totals_after(delta: DataFrame, baseline: DataFrame) -> DataFrame:
     """Everyone's totals after all of ``delta``: the next baseline."""
-    added = delta.groupBy("msno").agg(*[F.sum(c).alias(f"add_{c}") for c in TOTALS])
+    added = delta.groupBy("msno").agg(*[F.sum(_known(c, c)).alias(f"add_{c}") for c in TOTALS])
     merged = baseline.join(added, "msno", "full")
     return merged.select(
         "msno",
         *fixed.DEMOGRAPHICS,
         *[
-            (S.zero_if_null(c) + S.zero_if_null(f"add_{c}")).cast(total_type(c)).alias(c)
+            (_known(c, c) + S.zero_if_null(f"add_{c}")).cast(sum_type(c)).alias(c)
             for c in TOTALS
         ],
     )

@@ -1,21 +1,99 @@
 """Rates, ratios, histograms and quantiles over request and score logs.
 
-Windows come in two forms: tumbling (``every == width``) and trailing, where the
-log is first counted per ``every`` step and the few step rows are then copied
-into the windows they belong to, so a log row is never multiplied.
+Windows come in two forms: tumbling (``every == width``) and trailing. For trailing ones
+the log is counted per step and label first. A step's counts come in where its first
+window is read and go out after its last one, so a running sum over these changes is the
+window's sum: a difference of two prefix sums. Log rows are never multiplied, and step
+rows are not copied into the windows they belong to. All sums are of whole numbers or
+decimals, so differences are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.functions.running import running_sums
 
+#: Steps whose windows one task adds up at a time, per label; it sets task sizes only.
+STEPS_AT_A_TIME = 4096
+
+
+def _step(log: DataFrame, every: int, ts: str) -> Column:
+    """Number of the step a row falls in, counted from the epoch."""
+    if isinstance(log.schema[ts].dataType, TimestampNTZType):
+        micros = F.expr(f"({ts} - TIMESTAMP_NTZ'1970-01-01 00:00:00') div INTERVAL '0.000001' SECOND")
+    else:
+        micros = F.unix_micros(ts)
+    size = F.lit(every * 1_000_000)
+    return ((micros - F.pmod(micros, size)) / size).cast("bigint")
+
+
+def _read_at(log: DataFrame, step: Column, every: int, ts: str) -> Column:
+    """The time at which the window that ends with a step is read: the step's end."""
+    seconds = (step + 1) * every
+    if isinstance(log.schema[ts].dataType, TimestampNTZType):
+        return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+    return F.timestamp_seconds(seconds)
+
+
+def stepwise(
+    log: DataFrame, sums: dict[str, Column], by: Sequence[str] = (), every: int = 60, ts: str = "ts"
+) -> DataFrame:
+    """Sums per label and step; ``_rows`` counts the rows."""
+    counted = log.groupBy(*by, _step(log, every, ts).alias("step"))
+    return counted.agg(*[c.alias(n) for n, c in sums.items()], F.count(F.lit(1)).alias("_rows"))
+
+
+def each_label(counted: DataFrame, labels: Sequence[str], sums: Sequence[str], overall: bool = False) -> DataFrame:
+    """Step counts by each of several labels, and over all rows if ``overall``: label_of,
+    label and step. The log is not read again; only its step counts are regrouped."""
+    sets = [[name, "step"] for name in labels] + ([["step"]] if overall else [])
+    totals = [F.sum(n).alias(n) for n in (*sums, "_rows")]
+    grouped = counted.groupingSets(sets, *labels, "step").agg(
+        *[F.grouping(name).alias(f"_no_{name}") for name in labels], *totals
+    )
+    kind, value = F.lit("all"), F.lit("all")
+    for name in labels:
+        here = F.col(f"_no_{name}") == 0
+        kind = F.when(here, F.lit(name)).otherwise(kind)
+        value = F.when(here, F.col(name).cast("string")).otherwise(value)
+    return grouped.select(kind.alias("label_of"), value.alias("label"), "step", *sums, "_rows")
+
+
+def trailing(counted: DataFrame, sums: Sequence[str], by: Sequence[str], span: int) -> DataFrame:
+    """Sums over the last ``span`` steps at every step of which some row is within reach.
+
+    A label is added up in pieces of ``STEPS_AT_A_TIME`` steps; a step whose windows
+    reach into the next piece is in both.
+    """
+    size = max(STEPS_AT_A_TIME, span)
+    sums = [*sums, "_rows"]
+    pieces = F.array_distinct(
+        F.array(F.floor(F.col("step") / size), F.floor((F.col("step") + span - 1) / size))
+    )
+    placed = counted.withColumn("piece", F.explode(pieces))
+    first, end = F.col("piece") * size, (F.col("piece") + 1) * size
+    changes = F.array(
+        F.struct(F.greatest(F.col("step"), first).alias("at"), *[S.zero_if_null(n).alias(n) for n in sums]),
+        F.struct((F.col("step") + span).alias("at"), *[(-S.zero_if_null(n)).alias(n) for n in sums]),
+    )
+    moved = placed.select(*by, "piece", F.inline(changes)).where(F.col("at") < end)
+    # Rows of equal ``at`` are peers: each has the sum over all of them.
+    upto = Window.partitionBy(*by, "piece").orderBy("at")
+    following = F.coalesce(F.lead("at").over(upto), end)
+    running = moved.select(
+        *by, "at", following.alias("next"), *[F.sum(n).over(upto).alias(n) for n in sums]
+    ).where((F.col("next") > F.col("at")) & (F.col("_rows") > 0))
+    return running.select(
+        *by, F.explode(F.sequence(F.col("at"), F.col("next") - 1)).alias("step"), *sums
+    )
+
 
 def windowed(
     log: DataFrame,
@@ -28,20 +106,16 @@ def windowed(
     """Sums per window and label; ``window_end`` is the time the window is read.
 
     A window holds the rows with window_end - width <= ts < window_end. ``width``
-    and ``every`` are seconds and ``width`` is a multiple of ``every``.
+    and ``every`` are seconds and ``width`` is a multiple of ``every``; sums are of whole
+    numbers or decimals.
     """
     every = every or width
     if width % every:
         raise ValueError("width has to be a multiple of every")
-    step = F.window(ts, f"{every} seconds")
-    counted = log.groupBy(*by, step.alias("step")).agg(*[c.alias(n) for n, c in sums.items()])
-    end = F.col("step.end")
-    if width == every:
-        return counted.select(*by, end.alias("window_end"), *sums)
-    lags = F.sequence(F.lit(0), F.lit(width // every - 1))
-    copied = counted.withColumn("lag", F.explode(lags))
-    shifted = end + F.make_dt_interval(secs=F.col("lag") * F.lit(every))
-    return copied.groupBy(*by, shifted.alias("window_end")).agg(*[F.sum(n).alias(n) for n in sums])
+    counted = stepwise(log, sums, by, every, ts)
+    if width > every:
+        counted = trailing(counted, list(sums), by, width // every)
+    return counted.select(*by, _read_at(log, F.col("step"), every, ts).alias("window_end"), *sums)
 
 
 def _count() -> Column:
@@ -75,10 +149,30 @@ def mean(
     width: int = 300,
     every: int | None = None,
 ) -> DataFrame:
-    counted = windowed(log, {"total": F.sum(value), "n": F.count(value)}, by, width, every)
+    """Mean of the values; their sum is exact."""
+    counted = windowed(log, {"total": F.sum(S.exact(value)), "n": F.count(value)}, by, width, every)
     return counted.select(*by, "window_end", "n", S.ratio("total", "n").alias("mean"))
 
 
+def rate_by_each(
+    log: DataFrame, labels: Sequence[str], width: int = 60, every: int | None = None
+) -> DataFrame:
+    """Rows per second by each of several labels (label_of, label), in one pass."""
+    every = every or width
+    counted = each_label(stepwise(log, {}, labels, every), labels, [])
+    if width > every:
+        counted = trailing(counted, [], ["label_of", "label"], width // every)
+    n = F.col("_rows")
+    end = _read_at(log, F.col("step"), every, "ts").alias("window_end")
+    return counted.select("label_of", "label", end, n.alias("n"), (n / width).alias("per_second"))
+
+
+def _bucket_sums(value: str, bounds: Sequence[float]) -> dict[str, Column]:
+    """Cumulative counts per bound; the last one counts all values."""
+    sums = {f"b{i}": F.count_if(F.col(value) <= F.lit(b)) for i, b in enumerate(bounds)}
+    return sums | {"b_inf": F.count(value)}
+
+
 def bucket_counts(
     log: DataFrame,
     value: str,
@@ -91,8 +185,7 @@ def bucket_counts(
 
     One conditional count per bound, turned into rows after the aggregation.
     """
-    sums = {f"b{i}": F.count_if(F.col(value) <= F.lit(b)) for i, b in enumerate(bounds)}
-    sums["b_inf"] = F.count(value)
+    sums = _bucket_sums(value, bounds)
     if width is None:
         keys = list(by)
         counted = log.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
@@ -106,38 +199,69 @@ def bucket_counts(
     return counted.select(*keys, F.inline(F.array(*pairs)))
 
 
-def bucket_quantile(buckets: DataFrame, q: float | Column, by: Sequence[str] = ()) -> DataFrame:
+def quantile_in(cumulative: Column, bounds: Sequence[float], q: float) -> Column:
     """Quantile by linear interpolation inside the bucket that reaches rank q.
 
-    A rank in the open last bucket gives the highest finite bound. ``buckets``
-    has a fixed number of rows per label, so each array here is that short.
+    ``cumulative`` has a count for each of ``bounds`` and for all values. A rank in the
+    open last bucket gives the highest finite bound; without values it is null.
     """
-    rows = F.sort_array(F.collect_list(F.struct("le", "cumulative"))).alias("b")
-    grouped = buckets.groupBy(*by).agg(rows)
-    total = F.element_at("b", -1)["cumulative"]
+    uppers = F.array(*[F.lit(float(b)) for b in bounds])
+    total = F.element_at(cumulative, -1)
     rank = F.lit(q) * total
-    hit = F.col("hit")
-    placed = (
-        grouped.where(total > 0)
-        .withColumn("n", total)
-        .withColumn("rank", rank)
-        .withColumn(
-            "hit",
-            F.size(F.filter("b", lambda x: x["cumulative"] < F.col("rank"))) + 1,
-        )
-    )
-    lower_count = F.when(hit > 1, F.col("b")[hit - 2]["cumulative"]).otherwise(0)
-    lower_bound = F.when(hit > 1, F.col("b")[hit - 2]["le"]).otherwise(0.0)
-    upper = F.col("b")[hit - 1]
-    inside = lower_bound + (upper["le"] - lower_bound) * S.ratio(
-        F.col("rank") - lower_count, upper["cumulative"] - lower_count
-    )
+    hit = F.size(F.filter(cumulative, lambda x: x < rank))
+    below = F.when(hit > 0, F.get(cumulative, hit - 1)).otherwise(0)
+    low = F.when(hit > 0, F.get(uppers, hit - 1)).otherwise(0.0)
+    upper = F.get(uppers, hit)
+    inside = low + (upper - low) * S.ratio(rank - below, F.get(cumulative, hit) - below)
     value = (
-        F.when(hit >= F.size("b"), F.col("b")[F.size("b") - 2]["le"])
-        .when((hit == 1) & (upper["le"] <= 0), upper["le"])
+        F.when(hit >= len(bounds), F.lit(float(bounds[-1])))
+        .when((hit == 0) & (upper <= 0), upper)
         .otherwise(inside)
     )
-    return placed.select(*by, "n", value.alias("quantile"))
+    return F.when(total > 0, value)
+
+
+def bucket_quantile(buckets: DataFrame, q: float, by: Sequence[str] = ()) -> DataFrame:
+    """Quantile per label from rows (le, cumulative), the last of them open."""
+    counted = F.sort_array(F.collect_list(F.struct("le", "cumulative"))).alias("b")
+    grouped = buckets.groupBy(*by).agg(counted)
+    # ``buckets`` has a fixed number of rows per label, so each array is that short.
+    known = buckets.where(F.col("le") < float("inf")).select("le").distinct().orderBy("le")
+    bounds = [r.le for r in known.collect()]
+    cumulative = F.transform("b", lambda x: x["cumulative"])
+    total = F.element_at("b", -1)["cumulative"]
+    return grouped.where(total > 0).select(
+        *by, total.alias("n"), quantile_in(cumulative, bounds, q).alias("quantile")
+    )
+
+
+def trailing_quantiles(
+    log: DataFrame,
+    value: str,
+    bounds: Sequence[float],
+    qs: Sequence[float],
+    labels: Sequence[str],
+    overall: bool = False,
+    width: int = 300,
+    every: int | None = None,
+) -> DataFrame:
+    """Quantiles per trailing window by each of several labels (label_of, label, window_end,
+    n, q, quantile): one pass over the log, one array of bucket counts for all quantiles."""
+    every = every or width
+    sums = _bucket_sums(value, bounds)
+    counted = each_label(stepwise(log, sums, labels, every), labels, list(sums), overall)
+    if width > every:
+        counted = trailing(counted, list(sums), ["label_of", "label"], width // every)
+    cumulative = F.array(*sums).alias("cumulative")
+    end = _read_at(log, F.col("step"), every, "ts").alias("window_end")
+    found = counted.where("b_inf > 0").select("label_of", "label", end, "b_inf", cumulative)
+    asked = [
+        F.struct(F.lit(float(q)).alias("q"), quantile_in(F.col("cumulative"), bounds, q).alias("quantile"))
+        for q in qs
+    ]
+    return found.select(
+        "label_of", "label", "window_end", F.col("b_inf").alias("n"), F.inline(F.array(*asked))
+    )
 
 
 def in_flight(log: DataFrame, by: Sequence[str] = ("path",)) -> DataFrame:

@@ -319,8 +319,15 @@ def _share(source: str, condition: str, width: int, extra: str = "") -> str:
       {r6(f'count(*) FILTER ({condition}) / count(*)', 'ratio')}{extra} FROM {_trail(source, width)} GROUP BY ALL"""
 
 
-def _mean(source: str, value: str) -> str:
-    return f"""SELECT {WINDOW_END}, count(*) AS n, {r6(f'sum({value}) / count(*)', 'mean')}
+def _exact_mean(value: str) -> str:
+    """Exact sum, quotient as double; a tie in the seventh place is rounded up, as a
+    decimal, since a double would fall to either side."""
+    quotient = f"CAST(sum(CAST({value} AS DECIMAL(28, 9))) AS DOUBLE) / count(*)"
+    return f"CAST(round(CAST({quotient} AS DECIMAL(38, 14)), 6) AS DOUBLE) + 0.0 AS mean"
+
+
+def _mean(source: str, value: str, key: str = "") -> str:
+    return f"""SELECT {key}{WINDOW_END}, count(*) AS n, {_exact_mean(value)}
       FROM {_trail(source, 300)} GROUP BY ALL"""
 
 
@@ -570,8 +577,7 @@ SQL = {
         for label in ("path", "status_code", "'all'")
         for q in (0.95, 0.99)
     ),
-    "fetch_latency": f"""SELECT fetch_status, {WINDOW_END}, count(*) AS n, {r6('sum(fetch_seconds) / count(*)', 'mean')}
-      FROM {_trail('score_log', 300)} GROUP BY ALL""",
+    "fetch_latency": _mean("score_log", "fetch_seconds", "fetch_status, "),
     "fetch_quantile": "SELECT fetch_status, window_end, n, quantile FROM ("
     + _quantile(0.95, "score_log", "fetch_seconds", fixed.FETCH_BUCKETS, "fetch_status")
     + ")",
@@ -584,10 +590,7 @@ SQL = {
         count(*) FILTER (path = '/predict/') AS single_predictions, count(*) FILTER (path = '/predict/batch') AS batch_predictions,
         (SELECT count(*) FROM score_log WHERE is_churn = 1) AS churn_predictions FROM request_log""",
     "pred_rate": _rate("request_log", "CASE WHEN path = '/predict/' THEN 'single' ELSE 'batch' END", 60, "kind"),
-    "rolling_churn_rate": f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) FILTER (is_churn = 1) AS hits, count(*) AS n,
-        {r6('avg(is_churn)', 'ratio')}
-      FROM (SELECT is_churn, time_bucket(INTERVAL 60 SECOND, ts) + to_seconds(60 * k) AS w
-            FROM score_log, (SELECT unnest(range(1, 6)) AS k)) GROUP BY w""",
+    "rolling_churn_rate": _share("score_log", "is_churn = 1", 300),
     "class_mix": _rate("score_log", "CAST(is_churn AS BIGINT)", 300, "is_churn"),
     "prob_heatmap": f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_end, {LE}, cumulative
       FROM ({_buckets(_trail('score_log', 300), 'churn_probability', fixed.PROBABILITY_BUCKETS, 'w')})""",

@@ -872,9 +872,7 @@ def stream_prediction_stats(w: Workspace) -> DataFrame:
 
 @query
 def req_rate(w: Workspace) -> DataFrame:
-    by_path = rm.rate(w.request_log(), ["path"], every=STEP).withColumnRenamed("path", "label")
-    by_status = rm.rate(w.request_log(), ["status_code"], every=STEP).withColumnRenamed("status_code", "label")
-    return by_path.unionByName(by_status)
+    return rm.rate_by_each(w.request_log(), ["path", "status_code"], every=STEP).drop("label_of")
 
 
 @query
@@ -905,15 +903,10 @@ def bucket_counts(w: Workspace) -> DataFrame:
 @query
 def hist_quantile(w: Workspace) -> DataFrame:
     """By path, by status and over all requests."""
-    parts = []
-    for label in ("path", "status_code", F.lit("all")):
-        log = w.request_log().withColumn("label", F.col(label) if isinstance(label, str) else label)
-        buckets = rm.bucket_counts(
-            log, "duration_seconds", fixed.LATENCY_BUCKETS, ["label"], width=300, every=STEP
-        )
-        asked = buckets.withColumn("q", F.explode(F.array(F.lit(0.95), F.lit(0.99))))
-        parts.append(rm.bucket_quantile(asked, F.col("q"), ["label", "window_end", "q"]))
-    return reduce(DataFrame.unionByName, parts)
+    return rm.trailing_quantiles(
+        w.request_log(), "duration_seconds", fixed.LATENCY_BUCKETS, [0.95, 0.99],
+        ["path", "status_code"], overall=True, width=300, every=STEP,
+    ).drop("label_of")
 
 
 @query
@@ -937,8 +930,8 @@ def pred_rate(w: Workspace) -> DataFrame:
 
 @query
 def rolling_churn_rate(w: Workspace) -> DataFrame:
-    """Trailing five minutes, read every minute."""
-    return rm.share(w.score_log(), F.col("is_churn") == 1, width=300, every=60)
+    """Trailing five minutes, read at every step."""
+    return rm.share(w.score_log(), F.col("is_churn") == 1, width=300, every=STEP)
 
 
 @query
@@ -981,7 +974,7 @@ def fetch_latency(w: Workspace) -> DataFrame:
 
 @query
 def fetch_quantile(w: Workspace) -> DataFrame:
-    buckets = rm.bucket_counts(
-        w.score_log(), "fetch_seconds", fixed.FETCH_BUCKETS, ["fetch_status"], width=300, every=STEP
+    found = rm.trailing_quantiles(
+        w.score_log(), "fetch_seconds", fixed.FETCH_BUCKETS, [0.95], ["fetch_status"], width=300, every=STEP
     )
-    return rm.bucket_quantile(buckets, 0.95, ["fetch_status", "window_end"])
+    return found.withColumnRenamed("label", "fetch_status").drop("label_of", "q")

@@ -13,6 +13,8 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "array<string>": T.ArrayType(T.StringType()),
+    # Sums of money and seconds, see functions.scalars.
+    "exact": T.DecimalType(38, 9),
 }
 
 

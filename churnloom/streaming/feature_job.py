@@ -44,7 +44,7 @@ STAGED = schemas.columns(
 FLUSHED = schemas.columns("day date, seq bigint, batch bigint, user_count bigint")
 DELTA = schemas.columns(
     "msno string, "
-    + ", ".join(f"{c} {feature_ops.total_type(c)}" for c in feature_ops.TOTALS)
+    + ", ".join(f"{c} {'exact' if c in feature_ops.MONEY_AND_TIME else 'bigint'}" for c in feature_ops.TOTALS)
     + ", seq bigint, day date"
 )
 FEATURES = StructType([*schemas.FEATURE_TABLE.fields, StructField("event_date", DateType())])

@@ -5,7 +5,16 @@ from math import factorial
 
 import numpy as np
 
-from churnloom.operators.explanation import Leaf, _leaves_below, base_value, contributions
+import pytest
+
+from churnloom.operators import explanation
+from churnloom.operators.explanation import (
+    Leaf,
+    _leaves_below,
+    base_value,
+    contributions,
+    path_contributions,
+)
 
 
 class Node:
@@ -59,3 +68,49 @@ def test_same_as_definition():
     for x, phi in zip(rows, got):
         assert np.allclose(phi, shapley(x))
         assert np.isclose(base_value(leaves) + phi.sum(), known_value(x, {0, 1, 2}))
+
+
+def by_subsets(met, share, value):
+    """The definition, with the subsets of each size summed up feature by feature."""
+    n, d = met.shape
+    out = np.empty((n, d))
+    weight = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
+    for i in range(d):
+        sizes = np.zeros((n, d))
+        sizes[:, 0] = 1.0
+        for j in (j for j in range(d) if j != i):
+            grown = np.roll(sizes, 1, axis=1) * met[:, [j]]
+            grown[:, 0] = 0.0
+            sizes = sizes * share[j] + grown
+        out[:, i] = value * (met[:, i] - share[i]) * (sizes @ weight)
+    return out
+
+
+@pytest.mark.parametrize("d", [1, 2, 5, 9, 12, 18, 30])
+def test_paths_of_any_depth(d):
+    draw = np.random.default_rng(d)
+    met = draw.integers(0, 2, (200, d))
+    met[0], met[1] = 0, 1
+    share = draw.uniform(0.02, 0.98, d)
+    got = path_contributions(met, share, 3.5)
+    assert np.allclose(got, by_subsets(met, share, 3.5), rtol=1e-9, atol=1e-12)
+    reached = np.where(met.all(axis=1), 3.5, 0.0)
+    assert np.allclose(got.sum(axis=1) + 3.5 * share.prod(), reached)
+
+
+def test_deep_paths_are_not_remembered_whole():
+    draw = np.random.default_rng(1)
+    deep = Leaf(2.0, tuple(range(18)), (0.0,) * 18, (1.0,) * 18, tuple(draw.uniform(0.1, 0.9, 18)))
+    flat = Leaf(-1.0, (3,), (0.5,), (np.inf,), (0.25,))
+    explanation._remembered.cache_clear()
+    assert list(explanation._remembered((deep, flat))) == [1, 0]
+    explanation._remembered.cache_clear()
+    before, explanation.REMEMBERED = explanation.REMEMBERED, 1000
+    try:
+        rows = draw.uniform(-0.2, 1.2, (500, 18))
+        got = contributions(rows, (deep, flat))
+        assert list(explanation._remembered((deep, flat))) == [1]
+    finally:
+        explanation.REMEMBERED = before
+        explanation._remembered.cache_clear()
+    assert np.allclose(got, contributions(rows, (deep, flat)))
