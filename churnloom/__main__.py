@@ -13,14 +13,16 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from churnloom import fixed
+from churnloom import fixed, schemas
 from churnloom.operators import drift, lookup, preparation, reports
 from churnloom.plans import batch, scoring
-from churnloom.session import build
+from churnloom.session import build, stored
 from churnloom.sources import messages, tables
+from churnloom.sources.buckets import BUCKETS, BucketTable
 from churnloom.streaming import replay
-from churnloom.streaming.feature_job import FeatureStream
+from churnloom.streaming.feature_job import FeatureStream, newest_features
 
 
 def silver(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -79,9 +81,31 @@ def stats(spark: SparkSession, a: argparse.Namespace) -> None:
         print(f"{name}: {value}")
 
 
+def _bucketed(spark: SparkSession, path: str, buckets: int = BUCKETS) -> BucketTable:
+    schema = StructType(schemas.FEATURE_TABLE.fields)
+    return BucketTable(spark, path, schema, "event_timestamp", buckets=buckets)
+
+
 def materialize(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Newest features per user into a table of their own."""
-    tables.write_table(_latest(spark.read.parquet(a.features)), a.out)
+    """Newest features per user into a table in hash buckets; with --since only the rows
+    from that day on are read, and only the buckets of their users are written again."""
+    features = spark.read.parquet(a.features)
+    if a.since:
+        features = features.where(F.col("event_date") >= F.lit(a.since))
+    table = _bucketed(spark, a.out, a.buckets)
+    known = table.versions()
+    base = known[-1] if known else None
+    table.write(stored(_latest(features), "fresh"), (base or 0) + 1, base)
+    table.clean()
+
+
+def _newest(spark: SparkSession, a: argparse.Namespace, ids: DataFrame) -> DataFrame:
+    """Newest feature rows: of the ids' buckets only, or from the whole feature history."""
+    if a.latest:
+        return _bucketed(spark, a.latest).read(keys=ids)
+    if a.tables:
+        return newest_features(spark, a.tables, ids)
+    return _latest(spark.read.parquet(a.features))
 
 
 def historical(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -91,19 +115,18 @@ def historical(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def score(spark: SparkSession, a: argparse.Namespace) -> None:
-    features = spark.read.parquet(a.features)
     ids, model = tables.read_ids(spark, a.ids), scoring.load(spark, a.model)
-    scored = scoring.score_batch(ids, _latest(features), model, a.threshold)
+    scored = scoring.score_batch(ids, _newest(spark, a, ids), model, a.threshold)
     _log(scored, a)
     tables.export_scores(scored, a.out)
 
 
 def explain(spark: SparkSession, a: argparse.Namespace) -> None:
     """Scores with reasons as Parquet."""
-    features = spark.read.parquet(a.features)
     ids, model = tables.read_ids(spark, a.ids), scoring.load(spark, a.model)
-    seen = lookup.last_seen(features)
-    scored = scoring.score_users(ids, _latest(features), seen, model, a.threshold)
+    newest = _newest(spark, a, ids)
+    seen = newest.select("msno", F.to_date("event_timestamp").alias("feature_date"))
+    scored = scoring.score_users(ids, newest, seen, model, a.threshold)
     _log(scored, a)
     tables.write_table(scored, a.out)
 
@@ -150,13 +173,19 @@ def parser() -> argparse.ArgumentParser:
 
     command("refresh-config", refresh_config, "gold", "model")
     for name, run in (("score", score), ("explain", explain)):
-        sub = command(name, run, "ids", "features", "model", "out")
+        sub = command(name, run, "ids", "model", "out")
+        source = sub.add_mutually_exclusive_group(required=True)
+        source.add_argument("--latest", help="table that the materialize command keeps")
+        source.add_argument("--tables", help="tables of the stream command")
+        source.add_argument("--features", help="feature history, read as a whole")
         sub.add_argument("--threshold", type=float, default=fixed.CHURN_THRESHOLD)
         sub.add_argument("--log", help="score log to add the predictions to")
         sub.add_argument("--run-id", help="a repeated run of this id replaces its rows")
         sub.add_argument("--event-time")
     command("stats", stats, "log")
-    command("materialize", materialize, "features", "out")
+    sub = command("materialize", materialize, "features", "out")
+    sub.add_argument("--since", type=date.fromisoformat)
+    sub.add_argument("--buckets", type=int, default=BUCKETS)
     command("historical", historical, "requests", "features", "out")
     command("drift", check_drift, "gold", "features", "out").add_argument(
         "--day", type=date.fromisoformat

@@ -12,6 +12,22 @@ def ready_days(control: DataFrame) -> DataFrame:
     return seen.where("topics = 2").select("day")
 
 
+def counted_days(control: DataFrame, staged: DataFrame) -> DataFrame:
+    """Days whose end was announced on both topics and of which all announced records are
+    there: a marker that overtook records of its day does not close it.
+
+    ``control`` has day, topic and ``rows`` (what the marker says was sent; null says
+    nothing), ``staged`` has day, topic and the number of ``records``. Of several markers
+    the one with the most rows counts; more records than announced close the day too.
+    """
+    asked = control.groupBy("day", "topic").agg(F.max("rows").alias("rows"))
+    there = staged.groupBy("day", "topic").agg(F.sum("records").alias("records"))
+    known = asked.join(there, ["day", "topic"], "left")
+    enough = F.coalesce(F.col("records"), F.lit(0)) >= F.coalesce(F.col("rows"), F.lit(0))
+    seen = known.groupBy("day").agg(F.count_distinct("topic").alias("topics"), F.bool_and(enough).alias("all"))
+    return seen.where((F.col("topics") == 2) & F.col("all")).select("day")
+
+
 def pending_days(buffered: DataFrame, flushed: DataFrame) -> DataFrame:
     """Days with rows that were not flushed yet."""
     return buffered.select("day").distinct().join(flushed.select("day"), "day", "left_anti")

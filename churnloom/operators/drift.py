@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,6 +152,10 @@ def value_counts(baseline: DataFrame) -> DataFrame:
     return long_features(baseline).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Days whose running counts are held side by side in one pass.
+DAYS_AT_A_TIME = 32
+
+
 def drift_ks(
     baseline: DataFrame,
     current: DataFrame,
@@ -159,29 +166,96 @@ def drift_ks(
 
     ``counts`` is the stored result of ``value_counts``, if there is one.
 
-    The current distribution only jumps at its own values, so the largest gap is
-    found there: at the value and just below it. The baseline's running count is
-    therefore needed once per value, not once per day.
+    Both distributions only jump at values one of them has, so the gap is looked at
+    there. The counts of the baseline and of each day stand side by side in one row per
+    feature and value, so one running sum over the values serves all days.
     """
-    cur = long_features(current, [day]).groupBy(day, "feature", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
     ref = value_counts(baseline) if counts is None else counts
-    cur_running = running_sums(cur, "value", ["n"], [day, "feature"])
-    asked = cur_running.select("feature", "value", F.lit(0).cast("bigint").alias("n"))
-    pooled = ref.unionByName(asked).groupBy("feature", "value").agg(F.sum("n").alias("r"))
-    ref_running = running_sums(pooled, "value", ["r"], ["feature"])
-
-    both = cur_running.join(ref_running, ["feature", "value"]).where("all_r > 0")
-    at_value = F.abs(F.col("cum_r") / F.col("all_r") - F.col("cum_n") / F.col("all_n"))
-    below = F.abs(
-        (F.col("cum_r") - F.col("r")) / F.col("all_r") - (F.col("cum_n") - F.col("n")) / F.col("all_n")
+    # Calendar days.
+    days = sorted(r[0] for r in current.select(day).distinct().collect() if r[0] is not None)
+    found = None
+    for i in range(0, len(days), DAYS_AT_A_TIME):
+        some = days[i : i + DAYS_AT_A_TIME]
+        part = _ks_of(ref, current if len(days) == len(some) else current.where(F.col(day).isin(some)), day, some)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        kind = current.schema[day].dataType.simpleString()
+        return baseline.sparkSession.createDataFrame(
+            [], f"{day} {kind}, feature string, ks_stat double, ref_n bigint, cur_n bigint"
+        )
+    return found
+
+
+def _ks_of(ref: DataFrame, current: DataFrame, day: str, days: list) -> DataFrame:
+    rows = ref.select("feature", "value", F.col("n").alias("r"), F.lit(None).cast(current.schema[day].dataType).alias(day))
+    rows = rows.unionByName(long_features(current, [day]).withColumn("r", F.lit(0).cast("bigint")))
+    names = [f"n{k}" for k in range(len(days))]
+    side_by_side = rows.groupBy("feature", "value").agg(
+        F.sum("r").alias("r"), *[F.count_if(F.col(day) == F.lit(d)).alias(n) for n, d in zip(names, days)]
     )
-    return both.groupBy(day, "feature").agg(
-        F.max(F.greatest(at_value, below)).alias("ks_stat"),
+    running = running_sums(side_by_side, "value", ["r", *names], ["feature"]).where("all_r > 0")
+    reference_share = F.col("cum_r") / F.col("all_r")
+    gaps = running.groupBy("feature").agg(
         F.max("all_r").alias("ref_n"),
-        F.max("all_n").alias("cur_n"),
+        *[
+            F.struct(
+                F.lit(d).alias(day),
+                F.max(F.abs(reference_share - F.try_divide(F.col(f"cum_{n}"), F.col(f"all_{n}")))).alias("ks_stat"),
+                F.max(f"all_{n}").alias("cur_n"),
+            ).alias(n)
+            for n, d in zip(names, days)
+        ],
     )
+    per_day = gaps.select("feature", "ref_n", F.inline(F.array(*names))).where("cur_n > 0")
+    return per_day.select(day, "feature", "ks_stat", "ref_n", "cur_n")
+
+
+#: Product of the two sample sizes up to which ``exact_ks_pvalue`` counts paths.
+EXACT_UP_TO = 25_000_000
+
+
+def _share_of_paths(limit: int, n: int, m: int) -> float:
+    """Probability that a random order of n and m values keeps every |i/n - j/m| below
+    limit / (n * m).
+
+    Orders are paths through an n x m grid. ``ways[j]`` counts the paths to (i, j) that
+    stay inside: a running sum over what the row before has within the row's own bounds.
+    Rows are scaled, so that long paths do not overflow.
+    """
+    scale = 0.0
+    j = np.arange(m + 1)
+    ways = (j * n < limit).astype(float)
+    for i in range(1, n + 1):
+        inside = np.abs(i * m - j * n) < limit
+        ways = np.cumsum(ways * inside) * inside
+        most = ways.max()
+        if most == 0.0:
+            return 0.0
+        ways /= most
+        scale += math.log(most)
+    every = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return 0.0 if ways[m] == 0.0 else math.exp(math.log(ways[m]) + scale - every)
+
+
+def exact_ks_pvalue(stat: Column, n: Column, m: Column, up_to: int = EXACT_UP_TO) -> Column:
+    """Two-sample Kolmogorov-Smirnov p-value: the share of orders of the pooled values
+    with a gap of ``stat`` or more; the asymptotic one where n * m is above ``up_to``."""
+
+    @F.pandas_udf("double")
+    def counted(limit: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                None if pd.isna(d) or pd.isna(a) or pd.isna(b) or a * b == 0
+                else min(1.0, max(0.0, 1.0 - _share_of_paths(int(d), int(min(a, b)), int(max(a, b)))))
+                for d, a, b in zip(limit, n, m)
+            ],
+            dtype="float64",
+        )
+
+    n, m = n.cast("bigint"), m.cast("bigint")
+    small = n * m <= up_to
+    limit = F.when(small, F.rint(stat * n * m))
+    return F.when(small, counted(limit, F.when(small, n), F.when(small, m))).otherwise(S.ks_pvalue(stat, n, m))
 
 
 @dataclass(frozen=True)
@@ -203,16 +277,19 @@ def drift_table(
     current: DataFrame,
     day: str = "event_date",
     known: Reference | None = None,
+    exact_up_to: int = 0,
 ) -> DataFrame:
     """(day, feature, psi, level, ks_stat, ks_pvalue, ks_drift).
 
-    The flag uses the unrounded p-value, so a value near 0 counts as drift.
+    The flag uses the unrounded p-value, so a value near 0 counts as drift. P-values are
+    asymptotic where the product of the two sizes is above ``exact_up_to``.
     """
     known = known or reference(baseline)
     psi = drift_psi(known.bins, current, day)
-    ks = drift_ks(baseline, current, day, known.counts).withColumn(
-        "ks_pvalue", S.ks_pvalue("ks_stat", "ref_n", "cur_n")
-    )
+    pvalue = S.ks_pvalue("ks_stat", "ref_n", "cur_n")
+    if exact_up_to:
+        pvalue = exact_ks_pvalue(F.col("ks_stat"), F.col("ref_n"), F.col("cur_n"), exact_up_to)
+    ks = drift_ks(baseline, current, day, known.counts).withColumn("ks_pvalue", pvalue)
     return psi.join(ks, [day, "feature"], "left").select(
         day,
         "feature",

@@ -14,9 +14,11 @@ F1_EPSILON = 1e-9
 
 
 def threshold_counts(scored: DataFrame, label: str = fixed.LABEL, score: str = "score") -> DataFrame:
-    """Per distinct score t: rows at t, rows with score >= t, and all, by class."""
+    """Per distinct score t: rows at t, rows with score >= t, and all, by class. Rows without
+    a score or a label say nothing and are left out."""
     y = F.col(label)
-    ties = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    known = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & y.isNotNull())
+    ties = known.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg")
     )
     running = running_sums(ties, "threshold", ["pos", "neg"])

@@ -354,6 +354,25 @@ def _quantile(q: float, source: str, value: str, bounds: list[float], key: str)
       WHERE cumulative >= rank AND below < rank"""
 
 
+#: Paths through the grid of both samples that stay inside the gap, row by row.
+KS_EXACT = """RECURSIVE sizes AS (
+        SELECT event_date, feature, ref_n AS n, cur_n AS m, CAST(round(ks_stat * ref_n * cur_n) AS BIGINT) AS gap FROM ks),
+    paths AS (
+        SELECT event_date, feature, n, m, gap, 0 AS i, unnest(range(0, least(m, CAST(ceil(gap / n) AS BIGINT) - 1) + 1)) AS j, 1e0 AS ways
+        FROM sizes
+        UNION ALL
+        SELECT c.event_date, c.feature, c.n, c.m, c.gap, c.i, c.j,
+            sum(coalesce(p.ways, 0e0)) OVER (PARTITION BY c.event_date, c.feature ORDER BY c.j)
+        FROM (SELECT *, unnest(range(greatest(0, CAST(floor((i * m - gap) / n) AS BIGINT) + 1),
+                                     least(m, CAST(ceil((i * m + gap) / n) AS BIGINT) - 1) + 1)) AS j
+              FROM (SELECT DISTINCT event_date, feature, n, m, gap, i + 1 AS i FROM paths WHERE i < n)) c
+        LEFT JOIN paths p ON p.event_date = c.event_date AND p.feature = c.feature AND p.j = c.j),
+    exact AS (
+        SELECT s.event_date, s.feature, greatest(0e0, least(1e0,
+            1 - coalesce(p.ways, 0) / exp(lgamma(s.n + s.m + 1) - lgamma(s.n + 1) - lgamma(s.m + 1)))) AS ks_pvalue
+        FROM sizes s LEFT JOIN paths p ON p.event_date = s.event_date AND p.feature = s.feature AND p.i = s.n AND p.j = s.m)"""
+
+
 def _report_line(name: str, p: str, r: str, f: str, n: str) -> str:
     return f"SELECT '{name}' AS line, {r6(p, 'precision')}, {r6(r, 'recall')}, {r6(f, 'f1')}, CAST({n} AS BIGINT) AS support FROM cells"
 
@@ -477,8 +496,13 @@ SQL = {
     "class_weight": f"""SELECT count(*) FILTER (is_churn = 0) AS negatives, count(*) FILTER (is_churn = 1) AS positives,
         {r6('count(*) FILTER (is_churn = 0) / nullif(count(*) FILTER (is_churn = 1), 0)', 'scale_pos_weight')} FROM silver_train""",
     "null_audit": " UNION ALL ".join(
-        [f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM baseline" for c in [*fixed.FEATURES, "is_churn"]]
-        + ["SELECT 'all_columns', " + " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in [*fixed.FEATURES, "is_churn"]) + " FROM baseline"]
+        f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls, '{stage}' AS stage FROM {source}"
+        for stage, source in (("raw", "baseline"), ("filled", f"(SELECT {_imputed('zero')}, is_churn FROM baseline f)"))
+        for c in [*fixed.FEATURES, "is_churn"]
+    ) + " UNION ALL " + " UNION ALL ".join(
+        "SELECT 'all_columns', " + " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in [*fixed.FEATURES, "is_churn"])
+        + f", '{stage}' FROM {source}"
+        for stage, source in (("raw", "baseline"), ("filled", f"(SELECT {_imputed('zero')}, is_churn FROM baseline f)"))
     ),
     "eval_auc": f"SELECT {r6('sum(neg * (tp - pos + pos / 2)) / (max(all_pos) * max(all_neg))', 'auc_roc')} FROM curve",
     "eval_ap": f"SELECT {r6('sum(pos / all_pos * (tp / (tp + fp)))', 'auc_pr')} FROM curve",
@@ -547,6 +571,41 @@ SQL = {
     "drift_psi": f"SELECT {txt('event_date')}, feature, {r6('psi', 'psi')} FROM psi",
     "drift_ks": f"SELECT {txt('event_date')}, feature, {r6('ks_stat', 'ks_stat')}, ref_n, cur_n FROM ks",
     "drift_ks_pvalue": f"SELECT {txt('event_date')}, feature, {r6('ks_pvalue', 'ks_pvalue')}, ks_pvalue < 0.05 AS ks_drift FROM drift",
+    "drift_ks_exact": f"SELECT {txt('event_date')}, feature, {r6('ks_pvalue', 'ks_pvalue')} FROM exact",
+    "create_table": f"SELECT {txt('day', 'event_date')}, count(*) AS row_count, {big('sum(total_log_days)', 'total_log_days')} FROM cumulative GROUP BY day",
+    "stream_restart": f"SELECT {txt('day', 'event_date')}, count(*) AS row_count, {big('sum(total_log_days)', 'total_log_days')} FROM cumulative GROUP BY day",
+    "stream_dry_run": f"""SELECT {txt('day')}, row_number() OVER (ORDER BY day) AS seq, count(*) AS user_count, CAST(0 AS BIGINT) AS published
+        FROM delta GROUP BY day""",
+    "counted_days": f"""SELECT {txt('day')}, count(*) AS users, {big('sum(total_log_days)', 'log_days')},
+        row_number() OVER (ORDER BY day) AS seq FROM cumulative GROUP BY day""",
+    "bronze_versions": " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+            CAST(sum(CASE WHEN msno NOT LIKE '%7' THEN {number} END) AS BIGINT) AS checksum,
+            count(*) FILTER (msno LIKE '%7') AS unparsable FROM {source}"""
+        for name, source, number in (
+            ("members", "members_raw", "registration_init_time"),
+            ("transactions", "transactions_raw", "transaction_date"),
+            ("user_logs", "(SELECT * FROM user_logs_raw UNION ALL SELECT * FROM user_logs_raw)", "num_25"),
+            ("train", "train_raw", "is_churn"),
+        )
+    ),
+    "rejected_rows": """SELECT topic, CASE WHEN topic = 'other' THEN 'unknown topic' WHEN day IS NULL THEN 'no day' ELSE 'no user' END AS reason,
+        count(*) AS messages FROM event_messages
+      WHERE topic = 'other' OR day IS NULL OR (NOT control AND msno = '') GROUP BY ALL""",
+    "batch_counts": """SELECT count(*) + 2 AS messages,
+        count(*) FILTER (topic <> 'other' AND day IS NOT NULL AND NOT control AND msno <> '') AS records,
+        count(*) FILTER (topic = 'other' OR day IS NULL OR (NOT control AND msno = '')) AS rejected,
+        count(*) FILTER (topic <> 'other' AND day IS NOT NULL AND control) + 2 AS markers, true AS adds_up
+      FROM event_messages""",
+    "stream_progress": f"""SELECT 'progress' AS query, CAST(sum(n) AS BIGINT) AS input_rows FROM (SELECT count(*) AS n FROM day_logs UNION ALL SELECT count(*) FROM day_txns UNION ALL SELECT 2 * count(*) - 1 FROM stream_days)""",
+    "idle_stop": f"""SELECT CAST(sum(n) AS BIGINT) AS input_rows, true AS stopped FROM (SELECT count(*) AS n FROM day_logs UNION ALL SELECT count(*) FROM day_txns UNION ALL SELECT 2 * count(*) - 1 FROM stream_days)""",
+    "saved_model": "SELECT count(*) AS user_count, count(*) AS same_score FROM customer",
+    "run_log": f"""SELECT run_id, name, value FROM (SELECT unnest(['a', 'b']) AS run_id),
+        (SELECT 'auc_roc' AS name, {r6('sum(neg * (tp - pos + pos / 2)) / (max(all_pos) * max(all_neg))', 'value')} FROM curve
+         UNION ALL SELECT 'auc_pr', {r6('sum(pos / all_pos * (tp / (tp + fp)))')} FROM curve
+         UNION ALL SELECT 'log_loss', {r6('avg(-(y * ln(q) + (1 - y) * ln(1 - q)))')}
+           FROM (SELECT y, greatest(2.220446049250313e-16, least(1 - 2.220446049250313e-16, p)) AS q FROM labelled))""",
+    "event_times": """SELECT count(*) FILTER (event_id % 3 = 0) AS kept, count(*) FILTER (event_id % 3 <> 0) AS now FROM events""",
     "drift_summary": f"SELECT {txt('event_date')}, {r6('max_psi', 'max_psi')}, n_warning, n_critical, n_features, level FROM summary",
     "drift_detail": f"""SELECT {txt('event_date')}, 'done' AS status, feature, {r6('psi', 'psi')}, level, {r6('least(psi / 0.4, 1)', 'bar')},
         {r6('ks_stat', 'ks_stat')}, {r6('ks_pvalue', 'ks_pvalue')}, ks_pvalue < 0.05 AS ks_drift FROM drift WHERE event_date = DATE '2024-01-20'
@@ -628,4 +687,8 @@ SQL |= {name: SQL[other] for name, other in SAME.items()}
 
 def sql_for(name: str) -> str:
     views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(SQL[name]))
+    if name == "drift_ks_exact":
+        views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(VIEWS["ks"]))
+        steps = KS_EXACT.removeprefix("RECURSIVE ")
+        return f"WITH RECURSIVE {views},\nks AS ({VIEWS['ks']}),\n{steps}\n{SQL[name]}"
     return f"WITH {views}\n{SQL[name]}" if views else SQL[name]

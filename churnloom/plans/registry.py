@@ -23,11 +23,13 @@ from churnloom.operators import reports
 from churnloom.operators import request_metrics as rm
 from churnloom.plans import scoring
 from churnloom.plans.workspace import Workspace
-from churnloom.session import scratch
+from churnloom.session import scratch, stored
 from churnloom.sources import messages as M
 from churnloom.sources import tables
 from churnloom.sources.adapters import BASELINE_END, STREAM_START
 from churnloom.streaming import aggregates, replay
+from churnloom.streaming.feature_job import FeatureStream
+from churnloom.streaming.progress import Progress, run_until_idle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,7 +95,62 @@ def offline_table(w: Workspace) -> DataFrame:
     name = f"offline_{uuid.uuid4().hex}"
     tables.publish_offline(w.baseline().limit(1), name)
     tables.publish_offline(w.baseline(), name)
-    return tables.baseline_totals(w.spark.table(name))
+    return _taken(w, tables.baseline_totals(w.spark.table(name)), name)
+
+
+def _taken(w: Workspace, rows: DataFrame, name: str) -> DataFrame:
+    """Rows read from a catalog table, which is dropped then."""
+    kept = stored(rows, "taken")
+    w.spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+@query
+def create_table(w: Workspace) -> DataFrame:
+    """The streaming feature table, made where it is absent and left alone where it is there."""
+    name = f"features_{uuid.uuid4().hex}"
+    tables.ensure_feature_table(w.spark, name)
+    rows = w.feature_table()
+    rows.select(*w.spark.table(name).columns).write.insertInto(name)
+    tables.ensure_feature_table(w.spark, name)
+    found = w.spark.table(name).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("total_log_days").alias("total_log_days")
+    )
+    return _taken(w, found, name)
+
+
+@query
+def bronze_versions(w: Workspace) -> DataFrame:
+    """All raw files in one call per table, each version with its own order of columns and
+    some with values that do not parse: rows, a checksum, unparsable values."""
+    files = {
+        "members": [w.members_raw()],
+        "transactions": [w.transactions_raw(1), w.transactions_raw(2)],
+        "user_logs": [w.user_logs_raw(), w.user_logs_raw()],
+        "train": [w.train_raw(1), w.train_raw(2)],
+    }
+    number = {
+        "members": "registration_init_time", "transactions": "transaction_date", "user_logs": "num_25",
+        "train": "is_churn",
+    }
+    found = []
+    for name, versions in files.items():
+        root = scratch(w.spark, "bronze")
+        for k, rows in enumerate(versions):
+            # A version may have its columns in another order, and more of them.
+            columns = rows.columns[::-1] if k else rows.columns
+            odd = F.when(F.col("msno").endswith("7"), "n/a").otherwise(F.col(number[name]).cast("string"))
+            rows = rows.withColumn(number[name], odd).select(*columns, *([F.lit("x").alias("note")] if k else []))
+            rows.write.option("header", True).csv(f"{root}/v{k}")
+        read = tables.read_bronze(w.spark, [f"{root}/v{k}" for k in range(len(versions))], name, count_bad=True)
+        found.append(
+            read.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.sum(number[name]).alias("checksum"),
+                F.sum(F.size(tables.UNPARSABLE)).alias("unparsable"),
+            ).withColumn("table_name", F.lit(name))
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -283,6 +340,114 @@ def split_control(w: Workspace) -> DataFrame:
     )
 
 
+def _mixed_batches(w: Workspace) -> FeatureStream:
+    """Events of mixed quality in two batches; the first closes a day, for which the second
+    has late rows."""
+    job = w.small_job("mixed")
+    messages = _event_messages(w)
+    day = F.coalesce(F.get_json_object("value", "$.date"), F.get_json_object("value", "$.transaction_date"))
+    early = F.coalesce(day < F.lit(STREAM_START.isoformat()), F.lit(True)) & (F.hash("value") % 2 == 0)
+    ends = M.markers(w.spark.range(1).select(F.lit(BASELINE_END).alias("day")))
+    job.process(messages.where(early).unionByName(ends), 0)
+    job.process(messages.where(~early), 1)
+    return job
+
+
+@query
+def rejected_rows(w: Workspace) -> DataFrame:
+    """Messages that are no records, by topic and reason."""
+    rejected = w.once("mixed", _mixed_batches).rejected()
+    return rejected.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def batch_counts(w: Workspace) -> DataFrame:
+    """What became of all messages: valid or late, rejected, markers; none is lost."""
+    counts = w.once("mixed", _mixed_batches).batches()
+    kept = F.sum(F.col("valid") + F.col("late"))
+    whole = F.col("messages") == F.col("valid") + F.col("rejected") + F.col("late") + F.col("markers")
+    return counts.agg(
+        F.sum("messages").alias("messages"), kept.alias("records"), F.sum("rejected").alias("rejected"),
+        F.sum("markers").alias("markers"), F.bool_and(whole).alias("adds_up"),
+    )
+
+
+@query
+def counted_days(w: Workspace) -> DataFrame:
+    """Markers one batch ahead of half their records; none may be missing from its day."""
+    job = w.small_job("counted")
+    sent = w.messages()
+    counts = sent.groupBy("day", "topic").agg(F.count(F.lit(1)).alias("records"))
+    ends = M.markers(sent.select("day").distinct(), counts=counts)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    messages = sent.drop("day")
+    job.process(messages.where(first).unionByName(ends), 0)
+    job.process(messages.where(~first), 1)
+    per_day = job.features().groupBy(F.col("event_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("users"), F.sum("total_log_days").alias("log_days")
+    )
+    return per_day.join(job.day_status().select("day", "seq"), "day")
+
+
+@query
+def stream_restart(w: Workspace) -> DataFrame:
+    """A job that is stopped after the first days and goes on with a new one."""
+    root = scratch(w.spark, "restart")
+    sent = stored(w.messages(), "messages")
+    for part in (F.col("day") <= F.lit(DRIFT_DAY), F.col("day") > F.lit(DRIFT_DAY)):
+        replay.replay(sent.where(part), replay.to_files(f"{root}/messages"))
+        job = FeatureStream(w.spark, f"{root}/tables", w.baseline(), buckets=4)
+        job.run(M.stream_from_files(w.spark, f"{root}/messages"), f"{root}/checkpoint")
+    return job.features().groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("total_log_days").alias("total_log_days")
+    )
+
+
+@query
+def stream_dry_run(w: Workspace) -> DataFrame:
+    """Every day computed and none published."""
+    job = w.small_job("dry", dry_run=True)
+    sent = w.messages()
+    job.process(sent.drop("day").unionByName(M.markers(sent.select("day").distinct())), 0)
+    published = job.features().count()
+    return job.day_status().withColumn("published", F.lit(published))
+
+
+def _watched(w: Workspace, name: str, **trigger) -> tuple[Progress, bool]:
+    """A query over the message files that counts them; stopped when it is idle."""
+    watch = Progress(name)
+    w.spark.streams.addListener(watch)
+    try:
+        source = M.stream_from_files(w.spark, w.message_folder(), files_per_trigger=100)
+        run = (
+            source.groupBy("topic").count().writeStream.outputMode("update").format("noop").queryName(name)
+            .option("checkpointLocation", f"{scratch(w.spark, name)}/checkpoint").trigger(**trigger).start()
+        )
+        stopped = run_until_idle(run, watch, idle_seconds=3.0)
+        run.awaitTermination()
+        # Events of the last batches may still be on their way.
+        w.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        w.spark.streams.removeListener(watch)
+    return watch, stopped
+
+
+@query
+def stream_progress(w: Workspace) -> DataFrame:
+    """Progress rows of a query over all messages, added up."""
+    watch, _ = _watched(w, "progress", availableNow=True)
+    rows = watch.table(w.spark)
+    return rows.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
+
+
+@query
+def idle_stop(w: Workspace) -> DataFrame:
+    """A continuous query that has read everything and is stopped then."""
+    watch, stopped = _watched(w, "idle", processingTime="500 milliseconds")
+    rows = watch.table(w.spark).agg(F.sum("input_rows").alias("input_rows"))
+    return rows.withColumn("stopped", F.lit(stopped))
+
+
 @query
 def oot_split(w: Workspace) -> DataFrame:
     early, late = prep.split_by_registration(w.baseline())
@@ -457,7 +622,9 @@ def asof_features_ttl(w: Workspace) -> DataFrame:
 @query
 def score_lookup(w: Workspace) -> DataFrame:
     requests = w.table("customer").select(F.col("c_custkey").cast("string").alias("msno"))
-    got = lookup.lookup(requests, w.latest(), lookup.last_seen(w.feature_table()))
+    newest = w.newest(requests)
+    seen = newest.select("msno", F.to_date("event_timestamp").alias("feature_date"))
+    got = lookup.lookup(requests, newest, seen)
     return got.select("msno", "city", "total_secs", "total_num_unq", "feature_date", "member_found")
 
 
@@ -504,7 +671,10 @@ def class_weight(w: Workspace) -> DataFrame:
 
 @query
 def null_audit(w: Workspace) -> DataFrame:
-    return prep.null_audit(w.baseline())
+    """Nulls as they come and after filling."""
+    filled = prep.impute(w.baseline(), w.config(), "zero")
+    raw = prep.null_audit(w.baseline()).withColumn("stage", F.lit("raw"))
+    return raw.unionByName(prep.null_audit(filled).withColumn("stage", F.lit("filled")))
 
 
 # --- models --------------------------------------------------------------------
@@ -597,6 +767,43 @@ def score_checks(w: Workspace) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+@query
+def saved_model(w: Workspace) -> DataFrame:
+    """A model and its settings loaded from where they were saved score as before."""
+    kept = w.artefacts()
+    loaded = scoring.load(w.spark, kept.path)
+    old = scoring.score_batch(_customers(w), w.latest(), kept).select("msno", "churn_probability")
+    new = scoring.score_batch(_customers(w), w.latest(), loaded).select(
+        "msno", F.col("churn_probability").alias("p")
+    )
+    same = F.count_if(F.col("churn_probability") == F.col("p"))
+    return old.join(new, "msno").agg(F.count(F.lit(1)).alias("user_count"), same.alias("same_score"))
+
+
+@query
+def run_log(w: Workspace) -> DataFrame:
+    """Measures of two runs, as the log gives them back."""
+    path = scratch(w.spark, "runs")
+    measured = evaluation.metrics(w.labelled_scores(), score="score")
+    for run in ("a", "b"):
+        models.log_run(w.spark, path, run, measured)
+    rows = w.spark.read.parquet(path).where(F.col("name").isin("auc_roc", "auc_pr", "log_loss"))
+    return rows.select("run_id", "name", F.col("value").cast("double").alias("value"))
+
+
+@query
+def event_times(w: Workspace) -> DataFrame:
+    """Given times are kept, missing and empty ones are the time of the run."""
+    given = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")).when(
+        F.col("event_id") % 3 == 1, ""
+    )
+    timed = w.table("events").select(given.alias("given"), S.event_time_or_now(given).alias("time"))
+    return timed.agg(
+        F.count_if(F.col("time") == F.col("given")).alias("kept"),
+        F.count_if(F.col("time").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d UTC$")).alias("now"),
+    )
+
+
 @query
 def feature_importance(w: Workspace) -> DataFrame:
     return models.feature_importance(w.spark, w.artefacts().model)
@@ -790,6 +997,14 @@ def drift_ks_pvalue(w: Workspace) -> DataFrame:
     return w.drift().select("event_date", "feature", "ks_pvalue", "ks_drift")
 
 
+@query
+def drift_ks_exact(w: Workspace) -> DataFrame:
+    """P-values by counting orders of the pooled values."""
+    found = drift_ops.drift_ks(w.baseline(), w.feature_table())
+    exact = drift_ops.exact_ks_pvalue(F.col("ks_stat"), F.col("ref_n"), F.col("cur_n"))
+    return found.select("event_date", "feature", exact.alias("ks_pvalue"))
+
+
 @query
 def drift_summary(w: Workspace) -> DataFrame:
     return drift_ops.drift_summary(w.drift())

@@ -19,6 +19,7 @@ from churnloom.plans import scoring
 from churnloom.session import scratch, stored
 from churnloom.sources import messages as M
 from churnloom.sources import tables
+from churnloom.sources.buckets import BucketTable
 from churnloom.sources.adapters import BASELINE_END, STREAM_START, Adapter
 from churnloom.streaming import replay
 from churnloom.streaming.feature_job import FeatureStream
@@ -35,6 +36,9 @@ class Workspace(Adapter):
             _kept[key] = make()
         return _kept[key]
 
+    def once(self, name: str, make: Callable[[Workspace], object]) -> object:
+        return self._once(name, lambda: make(self))
+
     # --- batch -----------------------------------------------------------------
     def silver_members(self) -> DataFrame:
         return cleaning.silver_members(self.members_raw())
@@ -93,6 +97,17 @@ class Workspace(Adapter):
             "latest", lambda: stored(lookup.latest_rows(self.feature_table().select(*columns)), "latest")
         )
 
+    def newest(self, users: DataFrame) -> DataFrame:
+        """Newest feature rows of the hash buckets that hold some of the users."""
+
+        def make() -> BucketTable:
+            schema = self.latest().schema
+            table = BucketTable(self.spark, scratch(self.spark, "newest"), schema, "event_timestamp", buckets=8)
+            table.write(self.latest(), 1)
+            return table
+
+        return self._once("newest", make).read(1, users)
+
     def baseline_bins(self) -> DataFrame:
         return self._once("bins", lambda: stored(drift.drift_baseline(self.baseline()), "bins"))
 
@@ -139,7 +154,7 @@ class Workspace(Adapter):
 
         replay.replay(everything.where(~held_back), replay.to_files(folder), topics)
         job = FeatureStream(
-            self.spark, f"{root}/tables", self.baseline(), fold_every=6, check_drift=True
+            self.spark, f"{root}/tables", self.baseline(), buckets=8, check_drift=True
         )
         source = M.stream_from_files(self.spark, folder, files_per_trigger=48)
         job.run(source, f"{root}/checkpoint", finalize=False)
@@ -147,6 +162,10 @@ class Workspace(Adapter):
         job.run(source, f"{root}/checkpoint")
         return job
 
+    def small_job(self, name: str, **options) -> FeatureStream:
+        """A job of its own over given batches."""
+        return FeatureStream(self.spark, scratch(self.spark, name), self.baseline(), buckets=4, **options)
+
     # --- model -------------------------------------------------------------------
     def parts(self) -> tuple[DataFrame, DataFrame]:
         """Prepared rows of the earlier and the later users."""

@@ -55,9 +55,10 @@ BRONZE = {
 # One topic message: what a Kafka source gives after casting key and value.
 MESSAGE = columns("topic string, key string, value string")
 
-# Union of the record fields of both topics plus the end-of-day control record.
+# Union of the record fields of both topics plus the end-of-day control record, which says
+# how many records of its day and topic were sent.
 RECORD = columns(
-    "_end_of_day boolean, msno string, date string, transaction_date string,"
+    "_end_of_day boolean, _rows bigint, msno string, date string, transaction_date string,"
     " num_25 bigint, num_50 bigint, num_75 bigint, num_985 bigint, num_100 bigint, num_unq bigint,"
     " total_secs double, actual_amount_paid double, plan_list_price double,"
     " is_auto_renew bigint, is_cancel bigint"

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from churnloom import fixed, schemas
 from churnloom.functions import scalars as S
@@ -21,28 +22,69 @@ def encode(records: DataFrame, topic: str, key: str = "msno") -> DataFrame:
     )
 
 
-def markers(days: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
-    """An end-of-day record per day on each topic."""
+def markers(
+    days: DataFrame, topics: Sequence[str] | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """An end-of-day record per day on each topic.
+
+    With ``counts`` (day, topic, records) a marker says how many records of its day and
+    topic were sent, none if they are not listed there.
+    """
     topics = topics or [fixed.LOG_TOPIC, fixed.TRANSACTION_TOPIC]
-    control = F.named_struct(
-        F.lit("_end_of_day"), F.lit(True), F.lit("date"), F.date_format("day", "yyyy-MM-dd")
-    )
-    return days.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in topics]))).select(
-        "topic", F.lit(fixed.MARKER_KEY).alias("key"), F.to_json(control).alias("value")
+    ends = days.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in topics])))
+    fields = [F.lit("_end_of_day"), F.lit(True), F.lit("date"), F.date_format("day", "yyyy-MM-dd")]
+    if counts is not None:
+        ends = ends.join(counts, ["day", "topic"], "left")
+        fields += [F.lit("_rows"), S.zero_if_null("records")]
+    return ends.select(
+        "topic", F.lit(fixed.MARKER_KEY).alias("key"), F.to_json(F.named_struct(*fields)).alias("value")
     )
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Parse the JSON value; NaN numbers and unparsable values read as null."""
-    parsed = messages.select("topic", F.from_json("value", schemas.RECORD).alias("r"))
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """The messages with the fields of their JSON value; NaN numbers and unparsable values
+    read as null."""
+    schema = StructType([*schemas.RECORD.fields, StructField(CORRUPT, StringType())])
+    parsed = messages.withColumn("r", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
     doubles = [f.name for f in schemas.RECORD if f.dataType.typeName() == "double"]
     return parsed.select(
-        "topic",
+        *messages.columns,
         *[
             (S.number_or_null(f"r.{f.name}") if f.name in doubles else F.col(f"r.{f.name}")).alias(f.name)
             for f in schemas.RECORD
         ],
+        F.col(f"r.{CORRUPT}").alias(CORRUPT),
+    )
+
+
+def decode(messages: DataFrame) -> DataFrame:
+    """topic and the record fields of each message."""
+    return _parsed(messages).select("topic", *schemas.RECORD.fieldNames())
+
+
+DATA, MARKER, REJECTED = "data", "marker", "rejected"
+
+
+def sorted_out(messages: DataFrame) -> DataFrame:
+    """Every message with its fields, ``day``, ``kind`` (data, marker or rejected) and, if
+    it is rejected, the ``reason``."""
+    rows = _parsed(messages).withColumn(
+        "day", F.when(is_marker(), S.day_from_text("date")).otherwise(record_day())
+    )
+    known = F.coalesce(F.col("topic").isin(fixed.LOG_TOPIC, fixed.TRANSACTION_TOPIC), F.lit(False))
+    unread = F.col("value").isNull() | F.col(CORRUPT).isNotNull()
+    reason = (
+        F.when(unread, "unparsable")
+        .when(~known, "unknown topic")
+        .when(F.col("day").isNull(), "no day")
+        .when(~is_marker() & (F.col("msno").isNull() | (F.col("msno") == "")), "no user")
     )
+    rows = rows.withColumn("reason", reason).drop(CORRUPT)
+    kind = F.when(F.col("reason").isNotNull(), REJECTED).when(is_marker(), MARKER).otherwise(DATA)
+    return rows.withColumn("kind", kind)
 
 
 def record_day() -> "F.Column":

@@ -11,26 +11,66 @@ from pyspark.sql import functions as F
 from churnloom import fixed, schemas
 
 
-def read_bronze(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
-    """Headered CSV: the declared columns of ``table`` by name, with their types, then
-    all others as text in the order of the header.
+def _files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """First line of each file (none if it is empty) and the files that have it.
 
-    Files may have their columns in any order and more of them, as long as all files
-    of one call share a header; a missing declared column fails. Further columns are
-    kept because rows may differ in nothing else.
+    Only first splits are read; a header is the first line its task meets.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    named = {c.strip().lower(): c for c in raw.columns}
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file_path").collect():  # a row for each file
+        found.setdefault(row.header.removeprefix("\ufeff"), []).append(row.file_path)
+    return found
+
+
+def _read_alike(spark: SparkSession, files: str | list[str], table: str, count_bad: bool) -> DataFrame:
+    """Files that share a header."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(files)
+    named = {c.strip().strip("\ufeff").lower(): c for c in raw.columns}
     declared = schemas.BRONZE[table]
     missing = [f.name for f in declared if f.name not in named]
     if missing:
-        raise ValueError(f"{table}: no column {', '.join(missing)} in {path}")
+        raise ValueError(f"{table}: no column {', '.join(missing)} in {files}")
     others = [c for n, c in named.items() if n not in declared.names]
-    typed = [
-        F.expr(f"try_cast(`{named[f.name]}` AS {f.dataType.simpleString()})").alias(f.name)
-        for f in declared
-    ]
-    return raw.select(*typed, *[F.col(f"`{c}`") for c in others])
+    given = {f.name: F.col(f"`{named[f.name]}`") for f in declared}
+    typed = {f.name: given[f.name].try_cast(f.dataType) for f in declared}
+    columns = [c.alias(n) for n, c in typed.items()] + [F.col(f"`{c}`") for c in others]
+    if count_bad:
+        bad = [F.when(given[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in given]
+        columns.append(F.array_compact(F.array(*bad)).alias(UNPARSABLE))
+    return raw.select(*columns)
+
+
+#: Names of the columns of a row whose text is no value of their type.
+UNPARSABLE = "_unparsable"
+
+
+def read_bronze(
+    spark: SparkSession, path: str | list[str], table: str, count_bad: bool = False
+) -> DataFrame:
+    """Headered CSV: the declared columns of ``table`` by name, with their types, then
+    all others as text.
+
+    Files are read by their own header, so those of one call may have their columns in
+    any order and further ones; a column that only some files have is null in the others,
+    and a missing declared column fails. Further columns are kept because rows may differ
+    in nothing else. A value that does not parse is null; with ``count_bad`` each row names
+    such columns in ``_unparsable``, see ``unparsable``.
+    """
+    groups = _files_by_header(spark, path)
+    parts = [_read_alike(spark, files, table, count_bad) for files in groups.values()]
+    parts = parts or [_read_alike(spark, path, table, count_bad)]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    return found
+
+
+def unparsable(rows: DataFrame) -> DataFrame:
+    """(column_name, rows): how many values of each column did not parse."""
+    named = rows.select(F.explode(UNPARSABLE).alias("column_name"))
+    return named.groupBy("column_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

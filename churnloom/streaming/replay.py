@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnloom import fixed
+from churnloom.schemas import MESSAGE
 from churnloom.session import scratch
 from churnloom.sources import messages as M
 from churnloom.sources.tables import write_by_day
@@ -38,21 +39,28 @@ def replay(
     publish: Callable[[DataFrame, date], None],
     marker_topics: Callable[[date], Sequence[str]] | None = None,
 ) -> list[date]:
-    """Send one day after another in date order, then that day's end markers.
+    """Send one day after another in date order, each with its end markers.
 
     The messages are laid out by day first (one job over all days); each day is
-    then read back by its partition and sent by all executors. Days with
-    transactions only take their place in the order.
+    then read back by its partition and sent by all executors, together with its markers,
+    which say how many records of the day belong to each topic. Days with transactions
+    only take their place in the order.
     """
     spark = messages.sparkSession
     laid_out = scratch(spark, "replay")
     write_by_day(messages, laid_out, "day")
     staged = spark.read.parquet(laid_out)
-    days = [r.day for r in staged.select("day").distinct().orderBy("day").collect()]
+    # One row for each calendar day and topic.
+    counts = staged.groupBy("day", "topic").agg(F.count(F.lit(1)).alias("records")).collect()
+    days = sorted({r.day for r in counts})
     for day in days:
-        publish(staged.where(F.col("day") == F.lit(day)).drop("day"), day)
         topics = marker_topics(day) if marker_topics else None
-        publish(M.markers(spark.range(1).select(F.lit(day).alias("day")), topics), day)
+        sent = spark.createDataFrame(
+            [(r.day, r.topic, r.records) for r in counts if r.day == day], "day date, topic string, records bigint"
+        )
+        ends = M.markers(spark.range(1).select(F.lit(day).alias("day")), topics, F.broadcast(sent))
+        of_day = spark.read.schema(MESSAGE).parquet(f"{laid_out}/day={day.isoformat()}")
+        publish(of_day.unionByName(ends), day)
     return days
 
 

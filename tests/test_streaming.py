@@ -30,8 +30,9 @@ def paid(day, user, amount=5.0):
     return (PAID, user, f'{{"msno":"{user}","transaction_date":"{day}","actual_amount_paid":{amount},"is_cancel":1}}')
 
 
-def end(day, topic):
-    return (topic, fixed.MARKER_KEY, f'{{"_end_of_day":true,"date":"{day}"}}')
+def end(day, topic, rows=None):
+    sent = "" if rows is None else f',"_rows":{rows}'
+    return (topic, fixed.MARKER_KEY, f'{{"_end_of_day":true,"date":"{day}"{sent}}}')
 
 
 def both_ends(day):
@@ -81,7 +82,7 @@ def test_repeated_batch_changes_nothing(spark, tmp_path, baseline):
 
 def test_batch_that_failed_before_its_commit_is_repeated(spark, tmp_path, baseline):
     class Failing(FeatureStream):
-        def _push_latest(self, *args):
+        def _newest(self, work):
             raise RuntimeError("lost")
 
     rows = [log(D[0], "x"), *both_ends(D[0])]
@@ -113,9 +114,9 @@ def test_bad_messages_are_dropped(spark, tmp_path, baseline):
     assert totals(s) == [(D[0], "x", 1, 0.0, 0)]
 
 
-@pytest.mark.parametrize("fold_every", [1, 3])
-def test_folding_does_not_change_sums(spark, tmp_path, baseline, fold_every):
-    s = job(spark, tmp_path, baseline, fold_every=fold_every, keep_latest=False)
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_buckets_do_not_change_sums(spark, tmp_path, baseline, buckets):
+    s = job(spark, tmp_path, baseline, buckets=buckets, keep_latest=False)
     for i, day in enumerate(D[:4]):
         s.process(batch(spark, [log(day, "x"), log(day, f"u{i}"), *both_ends(day)]), i)
     assert [t[2] for t in totals(s) if t[1] == "x"] == [1, 2, 3, 4]
@@ -139,7 +140,7 @@ def test_stream_equals_batch(spark, tmp_path, baseline, files):
     w, sent, upto = small_replay(spark)
     folder = str(tmp_path / "messages")
     assert replay.replay(sent, replay.to_files(folder)) == D[:5]
-    s = job(spark, tmp_path, baseline, fold_every=2)
+    s = job(spark, tmp_path, baseline, buckets=5)
     s.run(M.stream_from_files(spark, folder, files), str(tmp_path / "checkpoint"))
     want = features.cumulative_features(w.delta().where(upto), baseline).drop("day")
     got = s.features().drop("event_date")
@@ -166,3 +167,76 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path, baseline):
 def test_dry_replay_sends_nothing(spark):
     _, sent, _ = small_replay(spark)
     assert replay.replay(sent.where(F.col("day") == F.lit(D[0])), replay.dry_run) == [D[0]]
+
+
+def test_marker_that_overtakes_its_rows_waits(spark, tmp_path, baseline):
+    s = job(spark, tmp_path, baseline)
+    s.process(batch(spark, [end(D[0], LOG, 2), end(D[0], PAID, 1), log(D[0], "x")]), 0)
+    assert s.features().count() == 0 and s.open_days() == [D[0]]
+    s.process(batch(spark, [log(D[0], "x", 7.0)]), 1)
+    assert s.features().count() == 0
+    s.process(batch(spark, [paid(D[0], "y"), log(D[1], "x")]), 2)
+    assert totals(s) == [(D[0], "x", 2, 17.0, 0), (D[0], "y", 0, 0.0, 1)]
+    assert s.late().count() == 0 and s.open_days() == [D[1]]
+
+
+def test_repeated_batch_does_not_count_twice(spark, tmp_path, baseline):
+    s = job(spark, tmp_path, baseline)
+    half = [end(D[0], LOG, 2), end(D[0], PAID, 0), log(D[0], "x")]
+    s.process(batch(spark, half), 0)
+    s.process(batch(spark, half), 0)
+    assert s.features().count() == 0
+    s.process(batch(spark, [log(D[0], "z")]), 1)
+    assert totals(s) == [(D[0], "x", 1, 10.0, 0), (D[0], "z", 1, 10.0, 0)]
+
+
+def test_every_message_is_counted(spark, tmp_path, baseline):
+    s = job(spark, tmp_path, baseline)
+    s.process(batch(spark, [log(D[0], "x"), *both_ends(D[0])]), 0)
+    odd = [
+        (LOG, "a", "no json"), (LOG, "b", None), (LOG, "c", '{"msno":"","date":"2024-01-17"}'),
+        (LOG, "d", '{"msno":"z"}'), ("elsewhere", "e", '{"msno":"z","date":"2024-01-17"}'),
+        (None, "f", '{"msno":"z","date":"2024-01-17"}'), (LOG, "g", '{"_end_of_day":true,"date":"soon"}'),
+    ]
+    s.process(batch(spark, [*odd, log(D[0], "x"), log(D[1], "x"), end(D[1], LOG)]), 1)
+    s.process(batch(spark, []), 2)
+    counts = sorted(tuple(r) for r in s.batches().select("batch", "messages", "valid", "rejected", "late", "markers").collect())
+    assert counts == [(0, 3, 1, 0, 0, 2), (1, 10, 1, 7, 1, 1), (2, 0, 0, 0, 0, 0)]
+    reasons = {r.key: r.reason for r in s.rejected().collect()}
+    assert reasons == {
+        "a": "unparsable", "b": "unparsable", "c": "no user", "d": "no day",
+        "e": "unknown topic", "f": "unknown topic", "g": "no day",
+    }
+    assert [(r.key, r.reason) for r in s.late().collect()] == [("x", "day closed")]
+
+
+def files_below(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*.parquet") if "_temporary" not in str(p))
+
+
+def test_work_of_a_batch_does_not_grow_with_days(spark, tmp_path, baseline):
+    """The last batch sees as many files of open days, state and done days as an early one."""
+    s = job(spark, tmp_path, baseline, buckets=16)
+    seen = []
+    for i in range(12):
+        day = dt.date(2024, 1, 16) + dt.timedelta(days=i)
+        s.process(batch(spark, [log(day, "x"), *both_ends(day)]), i)
+        root = tmp_path / "tables"
+        seen.append({name: len(files_below(root / name)) for name in ("open", "ends", "flushed", "state", "work")})
+    assert seen[-1] == seen[3] and seen[-1]["open"] == seen[-1]["ends"] == 0
+    assert s.day_status().count() == 12 and s.features().count() == 12
+
+
+def test_a_flush_rewrites_only_the_buckets_of_its_users(spark, tmp_path, baseline):
+    s = job(spark, tmp_path, baseline, buckets=16)
+    s.process(batch(spark, [*[log(D[0], f"u{i}") for i in range(200)], *both_ends(D[0])]), 0)
+    s.process(batch(spark, [log(D[1], "u7"), log(D[1], "new"), *both_ends(D[1])]), 1)
+    held = s.state.manifest(2)
+    ids = spark.createDataFrame([("u7",), ("new",)], "msno string")
+    touched = set(s.state.buckets_of(ids))
+    assert {b for b, v in held.items() if v == 2} == touched and len(held) == 16
+    found = s.latest(ids)
+    assert len(found.inputFiles()) == len(touched) <= 2
+    assert {r.msno: r.total_log_days for r in found.collect() if r.msno in ("u7", "new")} == {"u7": 2, "new": 1}
+    assert s.latest().count() == 201
+    assert {r.msno: r.feature_date for r in s.last_seen(ids).collect() if r.msno in ("u7", "u8")}["u7"] == D[1]
