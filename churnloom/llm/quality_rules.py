@@ -1,12 +1,15 @@
 """Quality rules as weak supervision instead of all-must-pass filters.
 
-Method: each rule looks at a document's measures and votes good or bad, or abstains.
-The votes of all documents are counted by pattern (three outcomes for each of the
-rules, so at most 3 ** len(RULES) patterns, whatever the data). Expectation-maximisation
-over these counts estimates, for both classes, how often each rule votes good when it
-does not abstain, and the share of good documents; the posterior probability of a
-document's pattern is its quality. Documents with a hard failure are not kept whatever
-the posterior is.
+Method: each rule looks at a document's measures and votes good or bad, or abstains; most
+rules know one defect and can only vote bad. Measures that speak of the same defect
+(repeated lines, repeated words, few different words) share a rule, since the model takes
+rules as independent. The votes of all documents are counted by pattern (three outcomes
+for each of the rules, so at most 3 ** len(RULES) patterns, whatever the data).
+Expectation-maximisation over these counts estimates how often each rule is right when it
+votes, and the share of good documents; the posterior probability of a document's pattern
+is its quality. A rule has a sense: its accuracy starts high and is held above one half,
+so that a class can't turn into something the rules are not about. Documents with a hard
+failure are not kept whatever the posterior is.
 
 Defined results: null or empty text has no words and fails (fewer than 10 words); null
 doc_id and repeated rows are kept, a row each; an empty table gives an empty table;
@@ -31,10 +34,12 @@ GRAM = 5
 #: Fixed bounds of a hard failure.
 LEAST_WORDS, REPEATED_PERCENT = 10, 20
 ROUNDS = 100
-#: Shares of good votes at the start, for good and for bad documents, and the weight (in
-#: documents) with which they stay as a prior. They also say which class is which.
-START = {1: 0.9, 0: 0.4}
-PRIOR_GOOD, PRIOR_WEIGHT = 0.9, 2.0
+#: Accuracy of a rule at the start, and the weight (in votes) with which it stays as a
+#: prior; what it is held between.
+START, PRIOR_VOTES = 0.9, 2.0
+LEAST, MOST = 0.55, 0.99
+#: Share of good documents at the start; it is estimated, with this weight in documents.
+GOOD, PRIOR_DOCUMENTS = 0.5, 2.0
 
 MEASURES = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,"
@@ -87,60 +92,67 @@ def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, F.lit(0)).when(good, F.lit(1))
 
 
+def _bad(bad: Column) -> Column:
+    return F.when(bad, F.lit(0))
+
+
 def rules() -> dict[str, Column]:
     n, lines = F.col("n_words"), F.col("n_lines")
     length = F.col("word_chars") / F.greatest(n, F.lit(1))
     symbols = F.col("n_symbols") / F.greatest(n, F.lit(1))
+    letters = F.col("n_letters") / F.greatest(F.col("word_chars"), F.lit(1))
     dup = F.col("n_dup_lines") / F.greatest(lines, F.lit(1))
     repeated = F.col("n_repeat_words") / F.greatest(n, F.lit(1))
     different = F.col("n_different") / F.greatest(n, F.lit(1))
     capitals = F.col("n_capitals") / F.greatest(F.col("n_letters"), F.lit(1))
+    varied = (dup <= 0.05) & (repeated <= 0.05) & (different >= 0.3)
     return {
-        "length": _vote(n >= 20, n < LEAST_WORDS),
-        "word_length": _vote(length.between(3, 10), (length < 2) | (length > 15)),
-        "symbols": _vote(symbols <= 0.02, symbols > 0.1),
-        "lines": _vote((lines >= 2) & (dup <= 0.05), dup > 0.3),
-        "repeats": _vote(repeated <= 0.05, repeated > REPEATED_PERCENT / 100),
-        "variety": _vote(different >= 0.3, (n >= 50) & (different < 0.15)),
-        "capitals": _vote(capitals <= 0.15, (F.col("n_letters") >= 20) & (capitals > 0.4)),
+        "clean": F.when((n >= LEAST_WORDS) & length.between(3, 10) & (symbols <= 0.02) & varied, F.lit(1)),
+        "letters": _vote(letters >= 0.93, (n >= 20) & (letters < 0.88)),
+        "symbols": _bad(symbols > 0.1),
+        "repetition": _bad(
+            (dup > 0.3) | (repeated > REPEATED_PERCENT / 100) | ((n >= 50) & (different < 0.15))
+        ),
+        "length": _bad(n < LEAST_WORDS),
+        "word_length": _bad((n > 0) & ((length < 2) | (length > 15))),
+        "capitals": _bad((F.col("n_letters") >= 20) & (capitals > 0.4)),
     }
 
 
-def fit(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = ROUNDS):
-    """Share of good documents and, per class, each rule's share of good votes."""
+def _matrix(patterns: list[tuple[int | None, ...]]) -> np.ndarray:
+    """1 for a good vote, -1 for a bad one, 0 without a vote; a row for each pattern."""
+    values = [[0 if v is None else 2 * v - 1 for v in p] for p in patterns]
+    return np.array(values, dtype=float).reshape(len(patterns), len(rules()))
+
+
+def fit(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = ROUNDS) -> tuple[float, np.ndarray]:
+    """Share of good documents and the accuracy of each rule's votes."""
     patterns = sorted(patterns, key=lambda p: tuple(-1 if v is None else v for v in p[0]))
-    votes = np.array([[-1 if v is None else v for v in p] for p, _ in patterns], dtype=float)
+    votes = _matrix([p for p, _ in patterns])
     weight = np.array([n for _, n in patterns], dtype=float)
-    n_rules = len(rules())
-    votes = votes.reshape(len(patterns), n_rules)
-    good = PRIOR_GOOD
-    share = {c: np.full(n_rules, s) for c, s in START.items()}
+    good, accuracy = GOOD, np.full(votes.shape[1], START)
     for _ in range(rounds):
-        post = posterior(votes, good, share)
-        for c, p in ((1, post), (0, 1 - post)):
-            w = (weight * p)[:, None] * (votes >= 0)
-            share[c] = ((w * votes).sum(0) + PRIOR_WEIGHT * START[c]) / (w.sum(0) + PRIOR_WEIGHT)
-        good = ((weight * post).sum() + PRIOR_WEIGHT * PRIOR_GOOD) / (weight.sum() + PRIOR_WEIGHT)
-    return good, share
+        post = posterior(votes, good, accuracy)
+        right = np.where(votes > 0, post[:, None], np.where(votes < 0, 1 - post[:, None], 0.0))
+        cast = weight @ (votes != 0)
+        accuracy = np.clip((weight @ right + PRIOR_VOTES * START) / (cast + PRIOR_VOTES), LEAST, MOST)
+        good = (weight @ post + PRIOR_DOCUMENTS * GOOD) / (weight.sum() + PRIOR_DOCUMENTS)
+    return good, accuracy
 
 
-def posterior(votes: np.ndarray, good: float, share: dict[int, np.ndarray]) -> np.ndarray:
-    logs = {}
-    for c, prior in ((1, good), (0, 1 - good)):
-        says = np.where(votes == 1, share[c], np.where(votes == 0, 1 - share[c], 1.0))
-        logs[c] = np.log(prior) + np.log(says).sum(axis=1)
-    return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
+def posterior(votes: np.ndarray, good: float, accuracy: np.ndarray) -> np.ndarray:
+    """Probability of good: each vote moves the odds by those of its rule being right."""
+    odds = np.log(good / (1 - good)) + votes @ np.log(accuracy / (1 - accuracy))
+    return 1 / (1 + np.exp(np.clip(-odds, -700, 700)))
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """Measures, posterior probability of quality, base_failed and kept."""
     names = list(rules())
     rows = stored(measured(docs).withColumns(rules()), "measures")
-    counted = rows.groupBy(*names).agg(F.count("*").alias("n")).collect()  # <= 3 ** rules
+    counted = rows.groupBy(*names).agg(F.count("*").alias("n")).collect()  # <= 3 ** rules, in no order
     patterns = [(tuple(r[c] for c in names), r.n) for r in counted]
-    good, share = fit(patterns)
-    votes = np.array([[-1 if v is None else v for v in p] for p, _ in patterns], dtype=float)
-    post = posterior(votes.reshape(len(patterns), len(names)), good, share).tolist()
+    post = posterior(_matrix([p for p, _ in patterns]), *fit(patterns)).tolist()
     spark = docs.sparkSession
     table = spark.createDataFrame(
         [(*p, float(q)) for (p, _), q in zip(patterns, post)],

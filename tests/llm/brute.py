@@ -217,3 +217,45 @@ def hard_negatives(rows, n_positives=5, n_negatives=3):
             fit = sorted((x for x in unlike if 50 * p <= 100 * x[0] <= 95 * p), key=order)[:n_negatives]
             out += [(anchor, pid, k, nid, p, s) for k, (s, nid) in enumerate(fit, 1)]
     return out
+
+
+def rule_verdicts(docs):
+    """[(doc_id, text)] -> (doc_id, n_words, word_chars, posterior, kept)."""
+    from math import exp, log
+
+    rows = []
+    for d, text in docs:
+        text = text or ""
+        w = SPACE_WORD.findall(text)
+        n, chars, symbols, dup, repeated = rule_measures(text)
+        lines = sum(1 for line in text.split("\n") if SPACE_WORD.search(line))
+        letters = sum(c.isalpha() for c in text)
+        capitals = sum(c.isupper() for c in text)
+        one, a_line = max(n, 1), max(lines, 1)
+        length, different = chars / one, len(set(w)) / one
+        varied = dup / a_line <= 0.05 and repeated / one <= 0.05 and different >= 0.3
+        share = letters / max(chars, 1)
+        votes = [
+            1 if n >= 10 and 3 <= length <= 10 and symbols / one <= 0.02 and varied else 0,
+            -1 if n >= 20 and share < 0.88 else 1 if share >= 0.93 else 0,
+            -1 if symbols / one > 0.1 else 0,
+            -1 if dup / a_line > 0.3 or repeated / one > 0.2 or (n >= 50 and different < 0.15) else 0,
+            -1 if n < 10 else 0,
+            -1 if n > 0 and (length < 2 or length > 15) else 0,
+            -1 if letters >= 20 and capitals / max(letters, 1) > 0.4 else 0,
+        ]
+        rows.append((d, n, chars, votes, n < 10 or 100 * repeated > 20 * n))
+    good, accuracy = 0.5, [0.9] * 7
+
+    def quality(votes):
+        return 1 / (1 + exp(-(log(good / (1 - good)) + sum(v * log(a / (1 - a)) for v, a in zip(votes, accuracy)))))
+
+    for _ in range(100):
+        post = [quality(r[3]) for r in rows]
+        fresh = []
+        for j in range(7):
+            right = sum(p if r[3][j] > 0 else 1 - p for p, r in zip(post, rows) if r[3][j])
+            cast = sum(1 for r in rows if r[3][j])
+            fresh.append(min(0.99, max(0.55, (right + 1.8) / (cast + 2))))
+        good, accuracy = (sum(post) + 1) / (len(rows) + 2), fresh
+    return [(d, n, chars, quality(v), not failed and quality(v) >= 0.5) for d, n, chars, v, failed in rows]

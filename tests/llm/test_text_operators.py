@@ -121,12 +121,24 @@ def test_rules_empty(make):
     assert Q.judged(make([])).count() == 0
 
 
+def test_verdict_as_by_hand(make, odd, real):
+    """Votes, expectation-maximisation and verdict, document by document in plain Python."""
+    docs = odd + real + [(2000 + i, "word$$$ other### " * 9 + f"tail {i}") for i in range(12)]
+    got = {(r.doc_id, r.n_words, r.word_chars): (round(r.quality, 9), r.kept) for r in Q.judged(make(docs)).collect()}
+    want = {(d, n, chars): (round(q, 9), kept) for d, n, chars, q, kept in brute.rule_verdicts(docs)}
+    assert got == want and {k for _, k in got.values()} == {True, False}
+
+
 def test_fit_finds_accurate_rules():
     n = len(Q.rules())
-    good, bad = (1,) * n, (0, 0, 0) + (1,) * (n - 3)
-    share_good, share = Q.fit([(good, 900), (bad, 100), ((None,) * n, 10)])
-    assert abs(share_good - 0.9) < 0.02
-    assert share[0][0] < 0.1 < 0.9 < share[1][0]
+    votes = lambda *given: (*given, *[None] * (n - len(given)))
+    # The second rule contradicts the first as often as not, the third only speaks of junk.
+    patterns = [(votes(1, 1, None), 450), (votes(1, 0, None), 450), (votes(0, 1, 0), 50), (votes(0, 0, 0), 50)]
+    good, accuracy = Q.fit(patterns)
+    assert abs(good - 0.9) < 0.02
+    assert accuracy[0] > 0.95 and accuracy[2] > 0.95 and accuracy[1] == Q.LEAST
+    post = Q.posterior(Q._matrix([p for p, _ in patterns]), good, accuracy)
+    assert (post > 0.5).tolist() == [True, True, False, False]
 
 
 def test_simhash(make, odd, real):
