@@ -22,6 +22,8 @@ table; other columns are ignored.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,7 @@ def messages(conversations: DataFrame) -> DataFrame:
     are one message, but where turn or conv_id is null each row is one."""
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
-        F.coalesce(F.col("turn").cast("bigint"), F.lit(-(2**62))).alias("turn"),
+        F.coalesce(F.col("turn").cast("bigint"), F.lit(-(2**63))).alias("turn"),
         F.coalesce("role", F.lit("unknown")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
         (F.col("conv_id").isNull() | F.col("turn").isNull()).alias("loose"),
@@ -154,7 +156,8 @@ def ordered(conversations: DataFrame) -> DataFrame:
             & (F.col(f"{a}.mid") == F.col(f"{b}.mid"))
         )
 
-    number = lambda c: F.lpad((c + F.lit(2**62)).cast("string"), 20, "0")
+    # Any bigint as a text that sorts like the number.
+    number = lambda c: F.lpad((c.cast("decimal(20,0)") + F.lit(Decimal(2**63))).cast("string"), 20, "0")
     root = F.coalesce("t.root", "r.turn")
     zero = F.lit(0).cast("bigint")
     joined = (

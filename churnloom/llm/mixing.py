@@ -8,10 +8,11 @@ document is exploded by its count and the copies are put in the order of a seede
 
 Weights default to n_s ** temperature, normalised; 1 keeps the sources' shares.
 
-Defined results: null source is a source of its own; null doc_id and null text are
-values like any other; repeated rows draw the same number each; a source with weight
-zero or not named in given weights gets no copies; an empty table gives an empty table;
-extra columns are kept, names used inside start with an underscore.
+Defined results: null source is a source of its own; rows without doc_id are told apart
+by the hash of their text; null text is a value like any other; repeated rows draw the
+same number each; a source with weight zero or not named in given weights gets no copies;
+an empty table gives an empty table; extra columns are kept whatever their names, but
+``copies`` and ``shuffled`` put their own ``_copy`` and ``_order`` in place of such columns.
 """
 
 from __future__ import annotations
@@ -73,41 +74,58 @@ def thresholds(rate: Column) -> Column:
     return F.when(rate > 0, F.aggregate(steps, zero, step)["terms"]).otherwise(F.array(F.lit(1.0)))
 
 
-def copies(docs: DataFrame, weights: dict[str | None, float] | None = None,
-           temperature: float = TEMPERATURE, seed: int = SEED, total: int | None = None) -> DataFrame:
-    """The rows of ``docs`` repeated, with ``_copy`` (different for each copy, from zero
-    on while the rate is drawn in one piece) and ``_order``."""
+def _copies(docs: DataFrame, weights: dict[str | None, float] | None = None,
+            temperature: float = TEMPERATURE, seed: int = SEED, total: int | None = None) -> DataFrame:
+    """``row`` (a struct of the columns of ``docs``) for each copy, ``copy`` (different for
+    each copy, from zero on while the rate is drawn in one piece) and ``order``."""
     steps = rates(docs, weights, temperature, total).withColumn(
-        "_cdf", thresholds(F.col("_rate") / F.col("_pieces"))
+        "cdf", thresholds(F.col("_rate") / F.col("_pieces"))
     )
-    steps = stored(steps, "rates")
+    steps = stored(steps.where("_rate > 0").select(
+        F.col("_source").alias("of"), F.col("_pieces").alias("pieces"), "cdf"), "rates")
     if steps.count() <= BROADCAST_SOURCES:
         steps = F.broadcast(steps)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    joined = docs.join(steps, same(docs["source"], steps["_source"])).where("_rate > 0")
-    pieces = F.sequence(F.lit(0), F.col("_pieces") - 1)
-    drawn = _unit(F.lit(str(seed)), key, F.col("_piece").cast("string"))
-    count = F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))
-    counted = (
-        joined.withColumn("_piece", F.explode(pieces))
-        .withColumn("_u", drawn)
-        .withColumn("_count", count)
-        .where("_count > 0")
+    # Without an id the text stands for the row, or all such rows would share one draw.
+    text = F.concat(F.lit("-"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("source").alias("source"),
+        F.coalesce(F.col("doc_id").cast("string"), text).alias("key"),
     )
-    number = F.explode(F.transform(F.sequence(F.lit(0), F.col("_count") - 1), lambda k: F.col("_piece") * 1024 + k))
-    out = counted.withColumn("_copy", number)
-    order = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), key, F.col("_copy").cast("string")))
-    return out.withColumn("_order", order).drop(
-        "_source", "_rate", "_pieces", "_cdf", "_piece", "_u", "_count"
+    joined = rows.join(steps, same(rows["source"], steps["of"]))
+    drawn = _unit(F.lit(str(seed)), F.col("key"), F.col("piece").cast("string"))
+    counted = (
+        joined.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        .withColumn("drawn", drawn)
+        .withColumn("number", F.size(F.filter("cdf", lambda c: c <= F.col("drawn"))))
+        .where("number > 0")
     )
+    each = F.explode(F.transform(F.sequence(F.lit(0), F.col("number") - 1), lambda k: F.col("piece") * 1024 + k))
+    out = counted.select("row", "key", each.alias("copy"))
+    order = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), "key", F.col("copy").cast("string")))
+    return out.select("row", "copy", order.alias("order"))
+
+
+def _numbered(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("_copy", "_order")]
+    return drawn.select(*kept, F.col("copy").alias("_copy"), F.col("order").alias("_order"))
+
+
+def copies(docs: DataFrame, weights: dict[str | None, float] | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` repeated, with ``_copy`` and ``_order``."""
+    return _numbered(docs, _copies(docs, weights, **options))
+
+
+def _in_order(docs: DataFrame, **options) -> DataFrame:
+    return _copies(docs, **options).repartitionByRange("order").sortWithinPartitions("order")
 
 
 def shuffled(docs: DataFrame, **options) -> DataFrame:
     """Copies in global order, with ``_copy`` and ``_order``: ranges of a random key,
     sorted within."""
-    return copies(docs, **options).repartitionByRange("_order").sortWithinPartitions("_order")
+    return _numbered(docs, _in_order(docs, **options))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """Copies in global order, with the columns of ``docs``."""
-    return shuffled(docs, **options).select(*docs.columns)
+    return _in_order(docs, **options).select("row.*")

@@ -124,7 +124,7 @@ def sample(labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
     one = stored(one, "labels")
     share = min(1.0, rows / max(1, one.count()))
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    return one.where(part).limit(rows)
+    return one.where(part).orderBy(F.xxhash64("id"), "id").limit(rows)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:

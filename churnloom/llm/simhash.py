@@ -157,6 +157,10 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     kept = least.select(F.col("first.doc_id").alias("_kept"), F.col("first.th").alias("_kept_text"))
     kept = stored(kept, "kept")
-    keyed = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    match = same(keyed["doc_id"].cast("bigint"), kept["_kept"]) & (keyed["_text"] == kept["_kept_text"])
-    return keyed.join(kept, match, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
+    )
+    match = same(keyed["id"], kept["_kept"]) & (keyed["th"] == kept["_kept_text"])
+    return keyed.join(kept, match, "left_semi").dropDuplicates(["id", "th"]).select("row.*")
