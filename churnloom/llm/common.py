@@ -29,6 +29,29 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+#: Words of 64 bits in the filter of ``likely``: at most so many rows are broadcast.
+FILTER_WORDS = 1 << 20
+
+
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` (a 64-bit hash) is among ``wanted`` (its only column), and a
+    few more: a bit for each hash, so that rows can be left out before they are shuffled.
+
+    With very many wanted hashes more rows pass; a join afterwards decides.
+    """
+
+    def place(h: Column) -> tuple[Column, Column]:
+        return F.pmod(h, F.lit(FILTER_WORDS)), F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int")
+
+    word, bit = place(F.col(wanted.columns[0]))
+    bits = wanted.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("_b"))
+    bits = F.broadcast(bits.groupBy("_word").agg(F.bit_or("_b").alias("_bits")))
+    word, bit = place(F.col(key))
+    met = rows.withColumn("_word", word).join(bits, "_word")
+    there = F.call_function("shiftright", "_bits", bit).bitwiseAND(F.lit(1)) == 1
+    return met.where(there).select(*rows.columns)
+
+
 def words_of(text: str) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; bytes.split() splits at just these."""
     return text.encode("utf-8", "surrogatepass").split()

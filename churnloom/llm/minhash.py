@@ -37,10 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnloom.llm.common import mix, powers, same, texts
+from churnloom.llm.common import likely, mix, powers, same, texts
 from churnloom.llm.components import components
 from churnloom.session import stored
 
@@ -52,9 +52,6 @@ BANDS = BINS // ROWS
 #: Equal coordinates of a pair worth verifying; at a similarity of 0.85 the mean is 127.5
 #: and the standard deviation 4.4.
 LIKELY = 107
-#: Words of 64 bits in the filter that keeps texts without a partner from being shuffled;
-#: with very many partners it lets more rows through, which changes no result.
-FILTER_WORDS = 1 << 20
 #: Sets, and shingles of all its sets, of a block.
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 
@@ -289,15 +286,7 @@ def _elements(docs: DataFrame, needed: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t.as_py(), width).astype("<u8").tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(sets, pa.binary())], names=["sid", "elements"])
 
-    def place(th: Column) -> tuple[Column, Column]:
-        return F.pmod(th, F.lit(FILTER_WORDS)), F.pmod(F.shiftright(th, 32), F.lit(64)).cast("int")
-
-    word, bit = place(F.col("th"))
-    bits = needed.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("b"))
-    # At most FILTER_WORDS rows.
-    bits = F.broadcast(bits.groupBy("_word").agg(F.bit_or("b").alias("_bits")))
-    rows = texts(docs).withColumn("th", F.xxhash64("text")).withColumn("_word", word).join(bits, "_word")
-    rows = rows.where(F.call_function("shiftright", "_bits", bit).bitwiseAND(F.lit(1)) == 1).drop("_word", "_bits")
+    rows = likely(texts(docs).withColumn("th", F.xxhash64("text")), "th", needed.select("th"))
     met = same(rows["doc_id"], needed["doc_id"]) & (rows["th"] == needed["th"])
     chosen = rows.join(needed, met).select("sid", "text").dropDuplicates(["sid"])
     return chosen.mapInArrow(run, "sid bigint, elements binary")

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnloom.llm.common import likely
 from churnloom.session import stored
 
 
@@ -139,11 +140,17 @@ class Ledger:
             F.col("path"), blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text")
         )
         self._add(addressed.select("path", "blob"), "versions")
+        pairs = self.scanned().where(F.col("rule").isin([r.name for r in rules]))
+        seen = pairs.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        if not pairs.isEmpty():
+            # Hashes first: texts of blobs that every rule has seen are not moved.
+            whole = seen.where(F.size("seen") == len({r.name for r in rules}))
+            new = addressed.select("blob").distinct().join(whole, "blob", "left_anti")
+            hashed = addressed.withColumn("h", F.xxhash64("blob"))
+            addressed = likely(hashed, "h", stored(new.select(F.xxhash64("blob").alias("h")), "new")).drop("h")
         # Equal blobs meet before they are compared with the ledger, so a text that
         # very many paths hold is one row per task.
         blobs = addressed.groupBy("blob").agg(F.first("text").alias("text"))
-        pairs = self.scanned().where(F.col("rule").isin([r.name for r in rules]))
-        seen = pairs.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
         unseen = blobs.join(seen, "blob", "left").withColumn(
             "todo",
             F.array_except(

@@ -145,11 +145,11 @@ class Chunk:
 def _questions(key: np.ndarray, extra: np.ndarray | None, asked: np.ndarray, n_parts: int):
     """For each part that answers: (part, packed questions, rows, index of their question).
 
-    A question is a different key of the chunk, sent to the part given by the key's
+    A question is a different key (with ``extra``) of the chunk, sent to the part given by the key's
     first bits: low bytes of the key (and of ``extra``) and a byte of flags, 1: it occurs
     twice or more in the chunk, 2: it is asked for.
     """
-    order = np.argsort(key)
+    order = np.argsort(key) if extra is None else np.lexsort((extra, key))
     part = ((key >> np.uint64(40)) * np.uint64(n_parts)) >> np.uint64(24)
     cuts = np.searchsorted(part[order], np.arange(n_parts + 1, dtype=np.uint64))
     for p in range(n_parts):
@@ -158,6 +158,8 @@ def _questions(key: np.ndarray, extra: np.ndarray | None, asked: np.ndarray, n_p
             continue
         k = key[rows]
         new = np.concatenate(([True], k[1:] != k[:-1]))
+        if extra is not None:
+            new[1:] |= extra[rows][1:] != extra[rows][:-1]
         first = np.flatnonzero(new)
         flags = (np.diff(np.append(first, len(rows))) > 1).astype(np.uint8)
         flags |= np.maximum.reduceat(asked[rows].astype(np.uint8), first) << 1
