@@ -25,7 +25,7 @@ from churnloom.plans import scoring
 from churnloom.plans.workspace import Workspace
 from churnloom.session import scratch, stored
 from churnloom.sources import messages as M
-from churnloom.sources import tables
+from churnloom.sources import pages, tables
 from churnloom.sources.adapters import BASELINE_END, STREAM_START
 from churnloom.streaming import aggregates, replay
 from churnloom.streaming.feature_job import FeatureStream
@@ -954,15 +954,22 @@ def batch_top_risks(w: Workspace) -> DataFrame:
     return reports.batch_top_risks(batch).select("prediction_id", "msno", "churn_probability")
 
 
+def _page_index(w: Workspace) -> str:
+    path = scratch(w.spark, "pages")
+    # Small ranges, so that pages cross their borders here too.
+    pages.write_days(features.active_users(w.day_logs(), w.day_transactions()), path, size=25)
+    return path
+
+
 @query
 def users_page(w: Workspace) -> DataFrame:
-    users = features.active_users(w.day_logs(), w.day_transactions())
-    return reports.users_page(users, DRIFT_DAY, page=2, size=20)
+    """A page from the ranges it lies in."""
+    return pages.read_page(w.spark, w.once("pages", _page_index), DRIFT_DAY, page=2, size=20)
 
 
 @query
 def users_page_deep(w: Workspace) -> DataFrame:
-    """A later page of another size."""
+    """A later page of another size, by rank over all users of the day."""
     users = features.active_users(w.day_logs(), w.day_transactions())
     return reports.users_page(users, DRIFT_DAY, page=4, size=7)
 
