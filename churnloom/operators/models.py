@@ -6,8 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -137,39 +139,112 @@ def _read_trees(spark: SparkSession, path: str) -> list[tuple[np.ndarray, ...]]:
     return found
 
 
-def round_auc(model: Model, watched: DataFrame) -> list[float]:
-    """Area under the ROC curve on the watched rows after each round, ties half; exact."""
+def _margins_by_round(trees: list, weights: list[float], x: np.ndarray) -> Iterator[np.ndarray]:
+    """The margin of each row after each round."""
+    margin, each = np.zeros(len(x)), np.arange(len(x))
+    for weight, (feature, threshold, left, right, value) in zip(weights, trees):
+        at = np.zeros(len(x), int)
+        while True:
+            below = np.where(x[each, feature[at]] <= threshold[at], left[at], right[at])
+            if (below == at).all():
+                break
+            at = below
+        margin = margin + weight * value[at]
+        yield margin
+
+
+def _watching(model: Model, watched: DataFrame):
+    """The model's trees, sent to the workers once, and the watched rows as numbers."""
     spark = watched.sparkSession
     path = scratch(spark, "rounds")
     model.write().overwrite().save(path)
     shared = spark.sparkContext.broadcast((_read_trees(spark, path), list(model.treeWeights)))
+    features = [F.col(c).cast("double").alias(c) for c in fixed.FEATURES]
+    return shared, watched.select(*features, F.col(fixed.LABEL).cast("int").alias(fixed.LABEL))
+
+
+#: Equal parts of [0, 1] that scores are counted in while rounds are watched.
+SCORE_BINS = 4096
+
+
+def _auc_within(cells: pd.DataFrame) -> pd.DataFrame:
+    """Least and greatest area a round's counts allow: pairs in one bin may go either way."""
+    cells = cells.sort_values("bin")
+    pos, neg = cells["pos"].to_numpy(float), cells["neg"].to_numpy(float)
+    above = pos.sum() - np.cumsum(pos)
+    possible = pos.sum() * neg.sum()
+    sure, open_ = (neg * above).sum() / possible, (neg * pos).sum() / possible
+    return pd.DataFrame({"round": [int(cells["round"].iloc[0])], "low": [sure], "high": [sure + open_]})
+
+
+def auc_bounds(model: Model, watched: DataFrame) -> list[tuple[float, float]]:
+    """Bounds of the area under the ROC curve on the watched rows after each round.
+
+    A task counts the scores of its rows by round and bin and sends these counts, so what
+    is shuffled depends on rounds, bins and tasks and not on the number of watched rows.
+    """
+    shared, rows = _watching(model, watched)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees, weights = shared.value
+        held = np.zeros((2, len(trees), SCORE_BINS), dtype=np.int64)
+        for batch in batches:
+            y = batch[fixed.LABEL].to_numpy()
+            for k, margin in enumerate(_margins_by_round(trees, weights, batch[fixed.FEATURES].to_numpy(float))):
+                score = 1 / (1 + np.exp(-np.clip(2 * margin, -700, 700)))
+                at = np.minimum((score * SCORE_BINS).astype(int), SCORE_BINS - 1)
+                for label in (0, 1):
+                    held[label, k] += np.bincount(at[y == label], minlength=SCORE_BINS)
+        for k in range(len(trees)):
+            at = np.flatnonzero(held[:, k].any(axis=0))
+            yield pd.DataFrame({"round": k, "bin": at, "pos": held[1, k, at], "neg": held[0, k, at]})
+
+    cells = rows.mapInPandas(count, "round int, bin int, pos bigint, neg bigint")
+    summed = cells.groupBy("round", "bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    found = summed.groupBy("round").applyInPandas(_auc_within, "round int, low double, high double")
+    return [(r.low, r.high) for r in sorted(found.collect())]
+
+
+def round_auc(model: Model, watched: DataFrame, rounds: Sequence[int] | None = None) -> list[float]:
+    """Area under the ROC curve on the watched rows after each round (counted from 0), or
+    after some of them; exact, ties half."""
+    shared, rows = _watching(model, watched)
+    wanted = set(range(model.getNumTrees) if rounds is None else rounds)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees, weights = shared.value
         for batch in batches:
-            x, margin, each = batch[fixed.FEATURES].to_numpy(float), np.zeros(len(batch)), np.arange(len(batch))
-            for k, (feature, threshold, left, right, value) in enumerate(trees):
-                at = np.zeros(len(batch), int)
-                while True:
-                    below = np.where(x[each, feature[at]] <= threshold[at], left[at], right[at])
-                    if (below == at).all():
-                        break
-                    at = below
-                margin = margin + weights[k] * value[at]
-                yield pd.DataFrame({"round": k, "margin": margin, "y": batch[fixed.LABEL].to_numpy()})
+            y = batch[fixed.LABEL].to_numpy()
+            for k, margin in enumerate(_margins_by_round(trees, weights, batch[fixed.FEATURES].to_numpy(float))):
+                if k in wanted:
+                    yield pd.DataFrame({"round": k, "margin": margin, "y": y})
 
-    features = [F.col(c).cast("double").alias(c) for c in fixed.FEATURES]
-    margins = watched.select(*features, F.col(fixed.LABEL).cast("int").alias(fixed.LABEL)).mapInPandas(
-        run, "round int, margin double, y int"
-    )
+    margins = rows.mapInPandas(run, "round int, margin double, y int")
     ties = margins.groupBy("round", "margin").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
     )
     running = running_sums(ties, "margin", ["pos", "neg"], ["round"])
     pairs = F.sum(F.col("neg") * (2 * (F.col("all_pos") - F.col("cum_pos")) + F.col("pos")))
     possible = 2.0 * F.max("all_pos") * F.max("all_neg")
-    rows = running.groupBy("round").agg((pairs / possible).alias("auc")).collect()
-    return [r.auc for r in sorted(rows)]
+    found = running.groupBy("round").agg((pairs / possible).alias("auc")).collect()
+    return [r.auc for r in sorted(found)]
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after some rounds: its first trees, without fitting again."""
+    if rounds >= model.getNumTrees:
+        return model
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
+    ml = jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for k in range(rounds):
+        trees[k] = model._java_obj.trees()[k]
+        weights[k] = float(model.treeWeights[k])
+    cut = ml.classification.GBTClassificationModel(
+        model.uid, trees, weights, model.numFeatures, model.numClasses
+    )
+    return GBTClassificationModel(cut)
 
 
 def _best_round(values: Sequence[float], patience: int) -> tuple[int, bool]:
@@ -191,10 +266,11 @@ def fit_boosted(
 
     Rows for early stopping come out of the training users, so the test users stay
     unseen. Fitting goes on until the area under the ROC curve on the watched users has
-    not improved for ``patience`` rounds, and the best number of rounds is kept: the
-    first rounds do not depend on how many follow, so their number is doubled and
-    refitted, which costs up to three times the trees. Without watched users of both
-    classes there is nothing to watch and all rounds are kept.
+    not improved for ``patience`` rounds; MLlib cannot go on with a fit, so the number of
+    rounds is doubled, at up to twice the trees, and the best first rounds are kept as
+    they are. Rounds are compared by counts of scores; of the two best ones the exact areas
+    decide. Without watched users of both classes there is nothing to watch and all rounds
+    are kept.
     """
     held = _held_out(VALIDATION_SHARE)
     rows = assembled(weighted(train).withColumn("validation", held))
@@ -205,13 +281,18 @@ def fit_boosted(
     fitted, rounds = rows.where("not validation"), min(asked, 2 * patience)
     while True:
         model = boosted_trees(**{**overrides, "n_estimators": rounds}).fit(fitted)
-        best, ended = _best_round(round_auc(model, watched), patience)
+        middle = [(low + high) / 2 for low, high in auc_bounds(model, watched)]
+        best, ended = _best_round(middle, patience)
         if ended or rounds == asked:
             break
         rounds = min(asked, 2 * rounds)
-    if best == rounds:
-        return model
-    return boosted_trees(**{**overrides, "n_estimators": best}).fit(fitted)
+    others = [k for k in range(min(len(middle), best + patience)) if k != best - 1]
+    if others:
+        # The runner-up: the best of the other rounds that were looked at.
+        two = sorted([best - 1, max(others, key=lambda k: middle[k])])
+        first, second = round_auc(model, watched, two)
+        best = two[1] + 1 if second > first else two[0] + 1
+    return first_rounds(model, best)
 
 
 def fit(estimator: Estimator, train: DataFrame, balanced: bool = False) -> Model:

@@ -208,3 +208,49 @@ def test_boosting_waits_thirty_rounds_for_a_better_auc(spark):
     scored = models.score(watched.drop("features"), whole).withColumnRenamed("churn_probability", "score")
     assert found[-1] == pytest.approx(evaluation.auc(evaluation.threshold_counts(scored)).first().auc_roc)
     assert len(found) == 40 and kept.getNumTrees == models._best_round(found, 30)[0]
+
+
+def test_rounds_are_watched_by_counts(spark):
+    """Bounds hold the exact areas, and what is sent does not grow with the watched users."""
+    rows = _with_signal(spark, 1500)
+    model = models.boosted_trees(n_estimators=12, max_depth=3).fit(models.assembled(models.weighted(rows)))
+    watched = models.assembled(rows)
+    exact = models.round_auc(model, watched)
+    bounds = models.auc_bounds(model, watched)
+    assert len(bounds) == 12 and all(low <= a + 1e-12 and a <= high + 1e-12 for (low, high), a in zip(bounds, exact))
+    assert models.round_auc(model, watched, [3, 11]) == [exact[3], exact[11]]
+    more = models.auc_bounds(model, watched.union(watched).union(watched))
+    assert [x for b in more for x in b] == pytest.approx([x for b in bounds for x in b])
+
+
+def test_first_rounds_without_fitting_again(spark, tmp_path):
+    rows = _with_signal(spark, 600)
+    ready = models.assembled(models.weighted(rows))
+    short = models.boosted_trees(n_estimators=4, max_depth=3).fit(ready)
+    cut = models.first_rounds(models.boosted_trees(n_estimators=9, max_depth=3).fit(ready), 4)
+    assert cut.getNumTrees == 4 and cut.treeWeights == short.treeWeights
+    assert len(models.feature_importance(spark, cut).collect()) == len(fixed.FEATURES)
+    cut.write().overwrite().save(f"{tmp_path}/cut")
+    from pyspark.ml.classification import GBTClassificationModel
+
+    scores = [
+        sorted((r.msno, r.churn_probability) for r in models.score(rows, m).select("msno", "churn_probability").collect())
+        for m in (short, cut, GBTClassificationModel.load(f"{tmp_path}/cut"))
+    ]
+    assert scores[0] == scores[1] == scores[2]
+
+
+@pytest.mark.parametrize("name", ["Main", "Logistic Regression", "Random Forest", "Gradient Boosting"])
+def test_models_find_a_planted_signal(spark, name):
+    rows = _with_signal(spark, 1500)
+    late = F.pmod(F.xxhash64("msno"), F.lit(5)) == 0
+    early, test = rows.where(~late), rows.where(late)
+    if name == "Main":
+        model = models.fit_boosted(early, n_estimators=30, max_depth=3)
+    else:
+        estimator, balanced = models.candidates()[name]
+        small = {"Random Forest": models.random_forest(20, 8, 10), "Gradient Boosting": models.baseline_boosting(20, 3, 10)}
+        model = models.fit(small.get(name, estimator), early, balanced)
+    scored = models.score(test, model).withColumnRenamed("churn_probability", "score")
+    area = evaluation.auc(evaluation.threshold_counts(scored)).first().auc_roc
+    assert area > (0.75 if name == "Logistic Regression" else 0.85)
