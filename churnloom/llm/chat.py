@@ -22,8 +22,6 @@ table; other columns are ignored.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +60,7 @@ def messages(conversations: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         (F.col("conv_id").isNull() | F.col("turn").isNull()).alias("loose"),
     )
-    mid = F.sha2(F.concat_ws("\x00", "role", "text"), 256)
+    mid = F.unhex(F.sha2(F.concat_ws("\x00", "role", "text"), 256))
     return (
         rows.withColumn("mid", mid)
         .groupBy(*_KEYS)
@@ -135,11 +133,22 @@ def _roots(answers: DataFrame) -> DataFrame:
         )
 
 
+def _with_quotes(rows: DataFrame) -> DataFrame:
+    """Messages of the conversations in which some line is quoted; in the others there is
+    nothing to link."""
+    marked = rows.where(F.col("text").rlike(r"(?:^|[\r\n])[ \t]*>"))
+    some = stored(marked.select(F.col("conv_id").alias("_conv")).distinct(), "quoting")
+    return rows.join(some, same(rows["conv_id"], some["_conv"]), "left_semi")
+
+
 def ordered(conversations: DataFrame) -> DataFrame:
     """Messages with reply_to (null if none), n_quotes, n_linked, body without quotes,
-    ``cum_one`` (place in the conversation, from one) and ``all_one`` (its messages)."""
+    ``cum_one`` (place in the conversation, from one) and ``all_one`` (its messages).
+
+    Places are counted on keys alone; the texts are joined afterwards.
+    """
     rows = stored(messages(conversations), "messages")
-    linked = stored(links(stored(passages(rows), "passages")), "links")
+    linked = stored(links(stored(passages(_with_quotes(rows)), "passages")), "links")
     per_message = linked.groupBy(*_KEYS).agg(
         F.count_if(F.col("place") < 0).alias("n_quotes"),
         F.count_if((F.col("place") < 0) & F.col("origin").isNotNull()).alias("n_linked"),
@@ -147,7 +156,7 @@ def ordered(conversations: DataFrame) -> DataFrame:
     )
     per_message = stored(per_message, "replies")
     answers = per_message.where("reply_to is not null").select(*_KEYS, "reply_to")
-    roots = _roots(answers)
+    roots = stored(_roots(answers), "roots")
 
     def matches(a: str, b: str) -> Column:
         return (
@@ -156,30 +165,27 @@ def ordered(conversations: DataFrame) -> DataFrame:
             & (F.col(f"{a}.mid") == F.col(f"{b}.mid"))
         )
 
-    # Any bigint as a text that sorts like the number.
-    number = lambda c: F.lpad((c.cast("decimal(20,0)") + F.lit(Decimal(2**63))).cast("string"), 20, "0")
-    root = F.coalesce("t.root", "r.turn")
     zero = F.lit(0).cast("bigint")
-    joined = (
+    keyed = (
         rows.alias("r")
         .join(per_message.alias("p"), matches("r", "p"), "left")
         .join(roots.alias("t"), matches("r", "t"), "left")
         .select(
             "r.conv_id",
-            "r.turn",
-            "r.role",
+            F.struct(F.coalesce("t.root", "r.turn").alias("root"), "r.turn", "r.mid").alias("place"),
             "p.reply_to",
             F.coalesce("p.n_quotes", zero).alias("n_quotes"),
             F.coalesce("p.n_linked", zero).alias("n_linked"),
-            unquoted(F.col("r.text")).alias("body"),
-            F.concat(number(root), number(F.col("r.turn")), F.col("r.mid")).alias("place"),
             F.col("r.copies").alias("one"),
         )
     )
-    placed = running_sums(joined, "place", ["one"], ["conv_id"])
+    placed = running_sums(keyed, "place", ["one"], ["conv_id"]).select("*", "place.turn", "place.mid").drop("place")
+    whole = placed.alias("k").join(rows.alias("r"), matches("k", "r")).select(
+        "k.*", "r.role", unquoted(F.col("r.text")).alias("body")
+    )
     # Equal messages that are no repeats follow each other.
     each = F.explode(F.sequence(F.col("cum_one") - F.col("one") + 1, F.col("cum_one")))
-    return placed.withColumn("cum_one", each).withColumn("one", F.lit(1).cast("bigint"))
+    return whole.withColumn("cum_one", each).withColumn("one", F.lit(1).cast("bigint"))
 
 
 def formatted(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:

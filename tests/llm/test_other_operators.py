@@ -168,6 +168,34 @@ def test_chat_same_as_sql(spark):
     assert difference(got, con, SQL["op9_chat_format"]) is None
 
 
+def _threads(n, seed):
+    """Conversations with quotes of several levels, side threads and things never written."""
+    draw = random.Random(seed)
+    rows = []
+    for conv in range(n):
+        said: list[str] = []
+        for turn in range(draw.randrange(1, 14)):
+            lines = []
+            for level in sorted((draw.randrange(1, 4) for _ in range(draw.randrange(3))), reverse=True):
+                source = draw.choice(said) if said and draw.random() < 0.85 else f"never {draw.randrange(9)}"
+                marks = draw.choice(["> " * level, ">" * level, " >" * level + " "])
+                lines += [marks + x for x in source.split("\n")] + [""] * draw.randrange(2)
+            own = "\n".join(f"line {draw.randrange(60)} of {draw.choice('abc')}" for _ in range(draw.randrange(1, 4)))
+            said.append(own)
+            rows.append((conv, turn, draw.choice(["user", "assistant"]), "\n".join([*lines, own])))
+    return rows
+
+
+def test_chat_threads_same_as_sql(spark):
+    rows = _threads(60, 3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = chat.formatted(spark.createDataFrame(rows, TALK_SCHEMA))
+    assert sum(r.n_linked for r in got.collect()) > 200
+    assert difference(got, con, SQL["op9_chat_format"]) is None
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(spark, name):
     assert difference(entry.queries()[name](spark, SMALL), connect(SMALL), SQL[name]) is None
