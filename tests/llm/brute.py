@@ -261,27 +261,28 @@ def rule_verdicts(docs):
     return [(d, n, chars, quality(v), not failed and quality(v) >= 0.5) for d, n, chars, v, failed in rows]
 
 
-def classifier_scores(train, texts, bits=18, runs=4, epochs=20, blend=0.25, seed=7):
-    """[(text, label)], texts -> scores, with a dict for every vector.
+def indicators(text, bits=18, runs=4):
+    """Set indicators of the classifier; runs and the bias have the numbers after the grams."""
+    raw, last = text.encode(), 1 << bits
+    found = {(((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - bits) for i in range(len(raw) - 2)}
+    words, longest, run = text.split(), 0, 0
+    for a, b in zip(words, words[1:]):
+        run = run + 1 if a == b else 0
+        longest = max(longest, run)
+    return sorted(found) + [last + k for k in range(min(longest, runs))] + [last + runs]
+
+
+def classifier_weights(train, bits=18, runs=4, epochs=20, seed=7):
+    """[(text, label)] -> function from an indicator to its ratio, and the weights as a dict.
 
     Naive Bayes ratios with counts from one on, hinge loss by dual coordinate descent with
-    costs against the classes' shares, weights blended with their mean.
+    costs against the classes' shares.
     """
-    from math import exp, log, sqrt
+    from math import log, sqrt
 
     import numpy as np
 
-    bias = "bias"
-
-    def indicators(text):
-        raw = text.encode()
-        found = {(((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - bits) for i in range(len(raw) - 2)}
-        words, longest, run = text.split(), 0, 0
-        for a, b in zip(words, words[1:]):
-            run = run + 1 if a == b else 0
-            longest = max(longest, run)
-        return sorted(found) + [f"run{k}" for k in range(min(longest, runs))] + [bias]
-
+    bias = (1 << bits) + runs
     rows = [(indicators(t), y) for t, y in train]
     width = (1 << bits) + runs + 1
     counts = {0: Counter(), 1: Counter()}
@@ -304,13 +305,15 @@ def classifier_scores(train, texts, bits=18, runs=4, epochs=20, blend=0.25, seed
             for f, a in v.items():
                 w[f] += (new - alpha[i]) * y * a
             alpha[i] = new
-    used = [abs(a) for a in w.values() if a]
-    mean = sum(used) / len(used)
-    blended = {f: (1 - blend) * mean * (1 if a > 0 else -1) + blend * a for f, a in w.items() if a}
-    out = []
-    for text in texts:
-        x = indicators(text)
-        r = [ratio(f) for f in x]
-        size = sqrt(sum(a * a for a in r))
-        out.append(1 / (1 + exp(-sum(blended.get(f, 0.0) * a for f, a in zip(x, r)) / size)))
-    return out
+    return ratio, w
+
+
+def classifier_score(text, ratio, w, blend=0.25):
+    """Score by weights (a dict without zeros) that are blended with their mean."""
+    from math import exp, sqrt
+
+    mean = sum(map(abs, w.values())) / len(w)
+    x = indicators(text)
+    r = [ratio(f) for f in x]
+    blended = [(1 - blend) * mean * (1 if w[f] > 0 else -1) + blend * w[f] if f in w else 0.0 for f in x]
+    return 1 / (1 + exp(-sum(b * a for b, a in zip(blended, r)) / sqrt(sum(a * a for a in r))))

@@ -3,6 +3,7 @@
 import zlib
 
 import brute
+import numpy as np
 import pytest
 
 from churnloom.llm import quality_classifier as C
@@ -17,13 +18,18 @@ def test_scores_as_by_hand(spark):
     )
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, quality int")
     known = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    ratio, weights = brute.classifier_weights(known)
+    rows_of = [C.features(t) for t, _ in known]
+    marks = np.array([y for _, y in known])
+    fitted = C.descend(rows_of, marks, C.ratios(rows_of, marks))
+    assert np.allclose(fitted, [weights.get(f, 0.0) for f in range(C.WIDTH)], atol=1e-9)
+    # Which weights are zero to the last digit depends on the order of adding.
+    used = {f: float(fitted[f]) for f in np.flatnonzero(fitted).tolist()}
     got = {r.doc_id: r for r in C.scores(docs, labels).collect()}
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    want = dict(zip(texts, brute.classifier_scores(known, texts.values())))
-    assert len(got) == len(want)
-    for i, score in want.items():
-        # A weight that cancels to zero in one order of adding and not in the other moves the
-        # mean that weights are blended with.
-        assert got[i].score == pytest.approx(score, abs=2e-3)
+    assert len(got) == len(texts)
+    for i, text in texts.items():
+        assert C.features(text).tolist() == brute.indicators(text)
+        assert got[i].score == pytest.approx(brute.classifier_score(text, ratio, used), abs=1e-9)
         assert got[i].predicted == (got[i].score >= 0.5)
         assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
