@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,14 @@ from churnloom import fixed, schemas
 def _files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """First line of each file (none if it is empty) and the files that have it.
 
-    Only first splits are read; a header is the first line its task meets.
+    Only first splits are read; a header is the first line of one.
     """
     lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    lines = lines.withColumn("at", F.monotonically_increasing_id()).where("file_block_start = 0")
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
     found: dict[str, list[str]] = {}
     for row in first.orderBy("file_path").collect():  # a row for each file
-        found.setdefault(row.header.removeprefix("\ufeff"), []).append(row.file_path)
+        found.setdefault(row.header.removeprefix("\ufeff"), []).append(unquote(row.file_path))
     return found
 
 

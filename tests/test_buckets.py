@@ -99,7 +99,7 @@ def test_files_with_other_headers(spark, tmp_path):
     texts = {
         "a/one.csv": "msno,is_churn\nx,1\ny,0\n",
         "a/two.csv": "﻿Is_Churn, MSNO,extra\n1,z,e\nno,w,f\n",
-        "b/three.csv": "msno,is_churn\nq,\n",
+        "b/three of them+%.csv": "msno,is_churn\nq,\n",
     }
     for name, text in texts.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
