@@ -1,4 +1,16 @@
-"""Training corpus from raw documents: a chain of stages, each on all the last one kept."""
+"""Training corpus from raw documents: a chain of stages, each on all the last one kept.
+
+Every stage but the last returns rows of its input with all its columns, extra ones and
+those with names that operators use inside included.
+
+Defined results: null text counts as empty and is judged like it; null doc_id has no label,
+is the last choice of a near-duplicate group and is drawn by its text; of repeated rows
+one stays after the near-duplicates; null source is a source of its own; a document that
+the benchmark contaminates goes with all its copies; the mix may repeat a document or leave
+it out, by its source's rate; without labels the classifier keeps all, without a benchmark
+nothing is contaminated; an empty table gives an empty table in every stage. The store holds
+documents in ascending doc_id, null first, whatever order they come in.
+"""
 
 from __future__ import annotations
 
