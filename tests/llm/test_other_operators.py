@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from churnloom.llm import chat, token_counts, token_store
+from churnloom.llm import chat, queries, token_counts, token_store
 from churnloom.llm import quality_classifier as C
 from churnloom.llm.oracle import SQL
 from churnloom.llm.queries import TOKENIZER
@@ -201,6 +201,11 @@ def test_same_as_sql(spark, name):
     assert difference(entry.queries()[name](spark, SMALL), connect(SMALL), SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted({*queries.QUERIES, "pipeline"} - set(SQL)))
+def test_registered_query_has_rows(spark, name):
+    assert entry.queries()[name](spark, SMALL).count() > 0
+
+
 def test_pipeline(spark, tokenizer):
     """Each stage against plain Python on what the stage before kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
