@@ -261,7 +261,10 @@ def _chunk_table(docs: DataFrame) -> DataFrame:
         .options(path=scratch(spark, "chunks"), compression="zstd")
         .saveAsTable(name, format="parquet")
     )
-    return spark.table(name)
+    chunks = spark.table(name)
+    # The name has served its purpose: the frame knows files and buckets, which stay.
+    spark.sql(f"DROP TABLE {name}")
+    return chunks
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
