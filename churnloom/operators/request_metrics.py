@@ -199,25 +199,21 @@ def bucket_counts(
     return counted.select(*keys, F.inline(F.array(*pairs)))
 
 
-def quantile_in(cumulative: Column, bounds: Sequence[float], q: float) -> Column:
+def quantile_in(cumulative: Sequence[Column], bounds: Sequence[float], q: float) -> Column:
     """Quantile by linear interpolation inside the bucket that reaches rank q.
 
-    ``cumulative`` has a count for each of ``bounds`` and for all values. A rank in the
-    open last bucket gives the highest finite bound; without values it is null.
+    ``cumulative`` has a count for each of ``bounds`` and, last, for all values. A rank in
+    the open last bucket gives the highest finite bound; without values it is null. One
+    branch per bound, so that it stays in generated code.
     """
-    uppers = F.array(*[F.lit(float(b)) for b in bounds])
-    total = F.element_at(cumulative, -1)
+    total = cumulative[-1]
     rank = F.lit(q) * total
-    hit = F.size(F.filter(cumulative, lambda x: x < rank))
-    below = F.when(hit > 0, F.get(cumulative, hit - 1)).otherwise(0)
-    low = F.when(hit > 0, F.get(uppers, hit - 1)).otherwise(0.0)
-    upper = F.get(uppers, hit)
-    inside = low + (upper - low) * S.ratio(rank - below, F.get(cumulative, hit) - below)
-    value = (
-        F.when(hit >= len(bounds), F.lit(float(bounds[-1])))
-        .when((hit == 0) & (upper <= 0), upper)
-        .otherwise(inside)
-    )
+    value = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        upper, low = float(bounds[i]), float(bounds[i - 1]) if i else 0.0
+        below = cumulative[i - 1] if i else F.lit(0)
+        inside = F.lit(low) + F.lit(upper - low) * S.ratio(rank - below, cumulative[i] - below)
+        value = F.when(cumulative[i] >= rank, F.lit(upper) if i == 0 and upper <= 0 else inside).otherwise(value)
     return F.when(total > 0, value)
 
 
@@ -228,7 +224,7 @@ def bucket_quantile(buckets: DataFrame, q: float, by: Sequence[str] = ()) -> Dat
     # ``buckets`` has a fixed number of rows per label, so each array is that short.
     known = buckets.where(F.col("le") < float("inf")).select("le").distinct().orderBy("le")
     bounds = [r.le for r in known.collect()]
-    cumulative = F.transform("b", lambda x: x["cumulative"])
+    cumulative = [F.get("b", i)["cumulative"] for i in range(len(bounds) + 1)]
     total = F.element_at("b", -1)["cumulative"]
     return grouped.where(total > 0).select(
         *by, total.alias("n"), quantile_in(cumulative, bounds, q).alias("quantile")
@@ -246,21 +242,20 @@ def trailing_quantiles(
     every: int | None = None,
 ) -> DataFrame:
     """Quantiles per trailing window by each of several labels (label_of, label, window_end,
-    n, q, quantile): one pass over the log, one array of bucket counts for all quantiles."""
+    n, q, quantile): one pass over the log, one row of bucket counts for all quantiles."""
     every = every or width
     sums = _bucket_sums(value, bounds)
     counted = each_label(stepwise(log, sums, labels, every), labels, list(sums), overall)
     if width > every:
         counted = trailing(counted, list(sums), ["label_of", "label"], width // every)
-    cumulative = F.array(*sums).alias("cumulative")
     end = _read_at(log, F.col("step"), every, "ts").alias("window_end")
-    found = counted.where("b_inf > 0").select("label_of", "label", end, "b_inf", cumulative)
+    cumulative = [F.col(c) for c in sums]
     asked = [
-        F.struct(F.lit(float(q)).alias("q"), quantile_in(F.col("cumulative"), bounds, q).alias("quantile"))
+        F.struct(F.lit(float(q)).alias("q"), quantile_in(cumulative, bounds, q).alias("quantile"))
         for q in qs
     ]
-    return found.select(
-        "label_of", "label", "window_end", F.col("b_inf").alias("n"), F.inline(F.array(*asked))
+    return counted.where("b_inf > 0").select(
+        "label_of", "label", end, F.col("b_inf").alias("n"), F.inline(F.array(*asked))
     )
 
 
