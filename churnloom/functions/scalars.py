@@ -15,17 +15,15 @@ def _col(c: Column | str) -> Column:
 def day_from_int(c: Column | str) -> Column:
     """Integer ``yyyyMMdd`` to date; an impossible day gives null, not a failed job.
 
-    Integer arithmetic: no text is built and parsed per row.
+    Integer arithmetic: no text is built and parsed per row. The number is named as few
+    times as possible: a filter on the day is pushed down to where the number is computed,
+    with its whole expression in each place, and generated code that gets too long for the
+    JVM's compiler is interpreted, many times slower.
     """
     number = _col(c)
-    year = F.floor(number / 10000).cast("int")
-    month = (F.floor(number / 100) % 100).cast("int")
-    day = (number % 100).cast("int")
-    first = F.when(
-        number.between(10000101, 99991231) & month.between(1, 12),
-        F.make_date(year, month, F.lit(1)),
-    )
-    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
+    parts = (F.floor(number / 10000), F.floor(number / 100) % 100, number % 100)
+    at = F.try_make_timestamp_ntz(*[p.cast("int") for p in parts], F.lit(0), F.lit(0), F.lit(0))
+    return F.when(number.between(10000101, 99991231), at.cast("date"))
 
 
 def day_from_text(c: Column | str) -> Column:
