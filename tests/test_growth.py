@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from churnloom.functions import scalars as S
+from churnloom.operators import features
 
 DAY = dt.date(2024, 1, 15)
 
@@ -28,3 +29,33 @@ def test_numbers_as_days(spark):
     found = {r.n: r.day for r in rows.select("n", S.day_from_int("n").alias("day")).collect()}
     days = {20240229: dt.date(2024, 2, 29), 10000101: dt.date(1000, 1, 1), 99991231: dt.date(9999, 12, 31)}
     assert found == {n: days.get(n) for n in [*numbers, None]}
+
+
+def _gold_inputs(spark):
+    train = spark.createDataFrame([("a", 1), ("b", 0), (None, 1)], "msno string, is_churn int")
+    members = spark.createDataFrame(
+        [(u, 1, 20, "male", 3, DAY) for u in ("a", "c", None)],
+        "msno string, city int, bd int, gender string, registered_via int, registration_init_time date",
+    )
+    paid = spark.createDataFrame(
+        [(u, DAY, DAY, 2.5, 1, 0) for u in ("a", "a", "c", None)],
+        "msno string, transaction_date date, membership_expire_date date, actual_amount_paid double,"
+        " is_auto_renew int, is_cancel int",
+    )
+    plays = ", ".join(f"num_{p} int" for p in features.PLAYS)
+    logs = spark.createDataFrame(
+        [(u, DAY, 1.5, *[1] * len(features.PLAYS)) for u in ("b", "c", None)],
+        f"msno string, date date, total_secs double, {plays}",
+    )
+    return train, members, paid, logs
+
+
+def test_gold_drops_unlabelled_users_before_any_shuffle(spark, monkeypatch):
+    inputs = _gold_inputs(spark)
+    few = features.gold_features(*inputs, DAY)
+    assert _plan(few).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("LeftSemi") == 3
+    monkeypatch.setattr(features, "FEW_USERS", 0)
+    many = features.gold_features(*inputs, DAY)
+    assert "LeftSemi" not in _plan(many)
+    assert few.columns == many.columns and few.count() == 3
+    assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
