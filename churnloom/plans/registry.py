@@ -884,8 +884,7 @@ def shap_values(w: Workspace) -> DataFrame:
 def shap_additivity(w: Workspace) -> DataFrame:
     """Largest gap between base plus contributions and the model's log-odds."""
     art = w.artefacts()
-    found = prep.impute(lookup.lookup(_customers(w), w.latest()), art.config, "median")
-    scored = models.score(found, art.model)
+    scored = models.score(scoring.prepared(_customers(w), w.latest(), art), art.model)
     summed = explanation.explain(scored, art.model, f"{art.path}/model", ["msno", "churn_probability"])
     margin = F.aggregate("contributions", F.col("base_value"), lambda acc, x: acc + x["value"])
     gap = F.abs(1 / (1 + F.exp(-margin)) - F.col("churn_probability"))

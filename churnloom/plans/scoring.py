@@ -68,6 +68,18 @@ def load(spark: SparkSession, path: str) -> Artefacts:
     return Artefacts(model, config, config["feature_cols"], path, config["run_id"], {})
 
 
+def prepared(
+    requests: DataFrame, latest: DataFrame, artefacts: Artefacts, seen: DataFrame | None = None
+) -> DataFrame:
+    """Model-ready rows of the ids, dealt to all cores.
+
+    An id list is a small file, so that one or two tasks read all of it; a row's trees cost
+    far more than moving it.
+    """
+    found = lookup.lookup(requests, latest, seen).hint("rebalance")
+    return preparation.impute(found, artefacts.config, "median")
+
+
 def score_batch(
     requests: DataFrame,
     latest: DataFrame,
@@ -76,9 +88,7 @@ def score_batch(
     seen: DataFrame | None = None,
 ) -> DataFrame:
     """Score any number of ids in one job; unknown ids as an average user."""
-    found = lookup.lookup(requests, latest, seen)
-    ready = preparation.impute(found, artefacts.config, "median")
-    scored = models.score(ready, artefacts.model)
+    scored = models.score(prepared(requests, latest, artefacts, seen), artefacts.model)
     return scored.withColumn("is_churn", S.churn_flag("churn_probability", threshold))
 
 
@@ -116,7 +126,7 @@ def score_users(
 
 def explain_users(requests: DataFrame, latest: DataFrame, artefacts: Artefacts) -> DataFrame:
     """All contributions per user by falling magnitude, and the base value."""
-    ready = preparation.impute(lookup.lookup(requests, latest), artefacts.config, "median")
+    ready = prepared(requests, latest, artefacts)
     explained = explanation.explain(ready, artefacts.model, f"{artefacts.path}/model")
     return reports.ranked_contributions(explained)
 

@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from churnloom import fixed
 from churnloom.functions import scalars as S
-from churnloom.operators import features
+from churnloom.operators import explanation, features
+from churnloom.plans import scoring
 
 DAY = dt.date(2024, 1, 15)
 
@@ -59,3 +62,33 @@ def test_gold_drops_unlabelled_users_before_any_shuffle(spark, monkeypatch):
     assert "LeftSemi" not in _plan(many)
     assert few.columns == many.columns and few.count() == 3
     assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
+
+
+def _artefacts():
+    config = {"num_cols_medians": {}, "bd_median": 30.0, "city_mode": 1, "registered_via_mode": 3}
+    return scoring.Artefacts(None, config, list(fixed.FEATURES), "", "", {})
+
+
+def test_rows_to_score_leave_the_tasks_that_read_the_ids(spark):
+    latest = spark.range(1).select(
+        F.lit("a").alias("msno"), *[F.lit("male" if c == "gender" else "1").alias(c) for c in fixed.FEATURES]
+    )
+    requests = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "msno string").coalesce(1)
+    ready = scoring.prepared(requests, latest, _artefacts())
+    assert "REBALANCE_PARTITIONS_BY_NONE" in _plan(ready)
+    assert sorted((r.msno or "", r.member_found) for r in ready.collect()) == [
+        ("", False), ("a", True), ("b", False), ("b", False),
+    ]
+
+
+def test_equal_rows_are_explained_once(monkeypatch):
+    leaves = (
+        explanation.Leaf(1.0, (0,), (-np.inf,), (0.5,), (0.25,)),
+        explanation.Leaf(-1.0, (0, 2), (0.5, -np.inf), (np.inf, 3.0), (0.75, 0.5)),
+    )
+    x = np.array([[0.0, 1, 2], [1.0, 1, 4], [0.0, 1, 2], [0.0, 1, 2]])
+    whole, seen = explanation.contributions(x, leaves), []
+    plain = explanation.contributions
+    monkeypatch.setattr(explanation, "contributions", lambda a, b: seen.append(len(a)) or plain(a, b))
+    assert (explanation.of_rows(x, leaves) == whole).all() and seen == [2]
+    assert explanation.of_rows(x[:0], leaves).shape == (0, 3)
