@@ -376,7 +376,7 @@ def batch_counts(w: Workspace) -> DataFrame:
 def counted_days(w: Workspace) -> DataFrame:
     """Markers one batch ahead of half their records; none may be missing from its day."""
     job = w.small_job("counted")
-    sent = w.messages()
+    sent = w.sent()
     counts = sent.groupBy("day", "topic").agg(F.count(F.lit(1)).alias("records"))
     ends = M.markers(sent.select("day").distinct(), counts=counts)
     first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
@@ -393,7 +393,7 @@ def counted_days(w: Workspace) -> DataFrame:
 def stream_restart(w: Workspace) -> DataFrame:
     """A job that is stopped after the first days and goes on with a new one."""
     root = scratch(w.spark, "restart")
-    sent = stored(w.messages(), "messages")
+    sent = w.sent()
     for part in (F.col("day") <= F.lit(DRIFT_DAY), F.col("day") > F.lit(DRIFT_DAY)):
         replay.replay(sent.where(part), replay.to_files(f"{root}/messages"))
         job = FeatureStream(w.spark, f"{root}/tables", w.baseline(), buckets=4)
@@ -407,7 +407,7 @@ def stream_restart(w: Workspace) -> DataFrame:
 def stream_dry_run(w: Workspace) -> DataFrame:
     """Every day computed and none published."""
     job = w.small_job("dry", dry_run=True)
-    sent = w.messages()
+    sent = w.sent()
     job.process(sent.drop("day").unionByName(M.markers(sent.select("day").distinct())), 0)
     published = job.features().count()
     return job.day_status().withColumn("published", F.lit(published))

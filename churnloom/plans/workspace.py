@@ -121,6 +121,10 @@ class Workspace(Adapter):
         """All stream records as messages with their day."""
         return replay.replay_messages(self.stream_logs(), self.stream_transactions(), STREAM_START)
 
+    def sent(self) -> DataFrame:
+        """The messages, kept: jobs that send them read them several times."""
+        return self._once("sent", lambda: stored(self.messages(), "messages"))
+
     def control_messages(self) -> DataFrame:
         """End markers of every day; the last day's transactions marker is missing."""
         days = self.day_logs().select("day").union(self.day_transactions().select("day")).distinct()
@@ -146,7 +150,7 @@ class Workspace(Adapter):
         folder = f"{root}/messages"
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "message_folder")
         _kept[key] = folder
-        everything = stored(self.messages(), "messages")
+        everything = self.sent()
         held_back = (F.col("key").cast("bigint") + F.dayofmonth("day")) % 23 == 0
 
         def topics(day: date) -> list[str] | None:

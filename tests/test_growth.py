@@ -9,6 +9,7 @@ from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.operators import explanation, features
 from churnloom.plans import scoring
+from churnloom.plans.workspace import Workspace
 
 DAY = dt.date(2024, 1, 15)
 
@@ -92,3 +93,13 @@ def test_equal_rows_are_explained_once(monkeypatch):
     monkeypatch.setattr(explanation, "contributions", lambda a, b: seen.append(len(a)) or plain(a, b))
     assert (explanation.of_rows(x, leaves) == whole).all() and seen == [2]
     assert explanation.of_rows(x[:0], leaves).shape == (0, 3)
+
+
+def test_sent_messages_are_encoded_once(spark, tmp_path):
+    rows = [(1, dt.datetime(2024, 1, 20, 3), 5, "purchase", 2.0, "{}"), (2, dt.datetime(2024, 1, 21), 6, "view", 1.0, "{}")]
+    spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    w = Workspace(spark, str(tmp_path))
+    assert w.sent() is w.sent() and "events.parquet" not in _plan(w.sent())
+    assert sorted(map(tuple, w.sent().collect())) == sorted(map(tuple, w.messages().collect()))
