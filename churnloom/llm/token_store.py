@@ -22,6 +22,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,13 @@ class IdPieces:
         return b"".join(self.memo.values(pieces(text)))
 
 
+@lru_cache(maxsize=1)
+def _of_worker(tokenizer: str, width: int) -> IdPieces:
+    """One for all tasks of a Python worker, so that a piece is encoded once in each worker
+    and not in each task; what it remembers is bounded by generations."""
+    return IdPieces(tokenizer, width)
+
+
 def id_width(tokenizer: str) -> int:
     """Bytes per stored id: two if all ids fit, else four."""
     from tokenizers import Tokenizer
@@ -130,7 +138,7 @@ def _dictionary(raw: bytes) -> dict:
 
 def _writer(tokenizer: str, width: int, dictionary: bytes, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = IdPieces(tokenizer, width)
+        ids = _of_worker(tokenizer, width)
         end = np.array([end_id], dtype=ids.dtype).tobytes()
         press = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(dictionary))
         sha = hashlib.sha256(dictionary).hexdigest()
