@@ -266,11 +266,12 @@ def fit_boosted(
 
     Rows for early stopping come out of the training users, so the test users stay
     unseen. Fitting goes on until the area under the ROC curve on the watched users has
-    not improved for ``patience`` rounds; MLlib cannot go on with a fit, so the number of
-    rounds is doubled, at up to twice the trees, and the best first rounds are kept as
-    they are. Rounds are compared by counts of scores; of the two best ones the exact areas
-    decide. Without watched users of both classes there is nothing to watch and all rounds
-    are kept.
+    not improved for ``patience`` rounds. MLlib cannot go on with a fit, so a short fit of
+    twice the patience comes first, and if it has not ended all rounds asked for follow at
+    once: at most 2 * patience trees are grown twice, whatever the rows say. The best first
+    rounds are kept as they are. Rounds are compared by counts of scores; of the two best
+    ones the exact areas decide. Without watched users of both classes there is nothing to
+    watch and all rounds are kept.
     """
     held = _held_out(VALIDATION_SHARE)
     rows = assembled(weighted(train).withColumn("validation", held))
@@ -278,14 +279,13 @@ def fit_boosted(
     watched = rows.where("validation")
     if watched.select(fixed.LABEL).distinct().count() < 2:
         return boosted_trees(**overrides).fit(rows)
-    fitted, rounds = rows.where("not validation"), min(asked, 2 * patience)
-    while True:
+    fitted = rows.where("not validation")
+    for rounds in dict.fromkeys([min(asked, 2 * patience), asked]):
         model = boosted_trees(**{**overrides, "n_estimators": rounds}).fit(fitted)
         middle = [(low + high) / 2 for low, high in auc_bounds(model, watched)]
         best, ended = _best_round(middle, patience)
-        if ended or rounds == asked:
+        if ended:
             break
-        rounds = min(asked, 2 * rounds)
     others = [k for k in range(min(len(middle), best + patience)) if k != best - 1]
     if others:
         # The runner-up: the best of the other rounds that were looked at.

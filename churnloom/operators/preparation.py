@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -15,6 +16,11 @@ from churnloom.functions.running import running_sums
 
 MODE_COLUMNS = ["city", "registered_via"]
 
+#: Rows from which a table is dealt to all cores before models read it, and most rows of a
+#: task where the cores alone would get more.
+MANY_ROWS = 50_000
+ROWS_OF_A_TASK = 1_000_000
+
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long table (feature, value, n) of the non-null values of some columns."""
@@ -119,6 +125,20 @@ def feature_matrix(df: DataFrame) -> DataFrame:
     return df.select("msno", *fixed.FEATURES, fixed.LABEL)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Many users in equal parts, a multiple of the cores.
+
+    A fit reads its rows hundreds of times and is as slow as the largest task; the files of
+    a stored table are packed into fewer tasks than cores, of unequal size. Few users stay
+    where they are.
+    """
+    rows = df.count()
+    if rows < MANY_ROWS:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * math.ceil(rows / (cores * ROWS_OF_A_TASK)), "msno")
+
+
 def label_rates(df: DataFrame, cut: date = fixed.SPLIT_DATE) -> DataFrame:
     """Rows and churn rate per split; ``unsplit`` are rows without a date."""
     day = F.col("registration_init_time")

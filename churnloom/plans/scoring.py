@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from churnloom import fixed
 from churnloom.functions import scalars as S
 from churnloom.operators import evaluation, explanation, lookup, models, preparation, reports
+from churnloom.session import stored
 from churnloom.sources import tables
 
 
@@ -47,8 +48,11 @@ def train(
     config = preparation.fit_config(early if fit_on_train_only else gold)
     ready = preparation.impute(gold, config, "zero")
     train_rows, test_rows = preparation.split_by_registration(ready, cut)
-    model = models.fit_boosted(preparation.feature_matrix(train_rows), patience, **parameters)
-    scored = models.score(preparation.feature_matrix(test_rows), model)
+    train_rows, test_rows = (preparation.dealt(preparation.feature_matrix(p)) for p in (train_rows, test_rows))
+    model = models.fit_boosted(train_rows, patience, **parameters)
+    scored = models.score(test_rows, model)
+    # Stored, since the measures read the scores several times.
+    scored = stored(scored.select(fixed.LABEL, "churn_probability"), "scored")
     measured = evaluation.metrics(scored, score="churn_probability")
 
     run_id = uuid.uuid4().hex

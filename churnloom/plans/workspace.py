@@ -173,9 +173,13 @@ class Workspace(Adapter):
     # --- model -------------------------------------------------------------------
     def parts(self) -> tuple[DataFrame, DataFrame]:
         """Prepared rows of the earlier and the later users."""
-        ready = preparation.impute(self.baseline(), self.config(), "zero")
-        early, late = preparation.split_by_registration(ready)
-        return preparation.feature_matrix(early), preparation.feature_matrix(late)
+
+        def make() -> tuple[DataFrame, DataFrame]:
+            ready = preparation.impute(self.baseline(), self.config(), "zero")
+            early, late = preparation.split_by_registration(ready)
+            return tuple(preparation.dealt(preparation.feature_matrix(p)) for p in (early, late))
+
+        return self._once("parts", make)
 
     def candidate(self, name: str) -> Model:
         """A model of the comparison with its stated parameters, fitted once."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from churnloom import fixed
 from churnloom.functions import scalars as S
-from churnloom.operators import explanation, features
+from churnloom.operators import explanation, features, models, preparation
 from churnloom.plans import scoring
 from churnloom.plans.workspace import Workspace
 
@@ -103,3 +103,34 @@ def test_sent_messages_are_encoded_once(spark, tmp_path):
     w = Workspace(spark, str(tmp_path))
     assert w.sent() is w.sent() and "events.parquet" not in _plan(w.sent())
     assert sorted(map(tuple, w.sent().collect())) == sorted(map(tuple, w.messages().collect()))
+
+
+def test_a_fit_that_goes_on_grows_few_trees_twice(spark, monkeypatch):
+    noise = {c: F.pmod(F.xxhash64("id", F.lit(c)), F.lit(97)).cast("double") for c in fixed.FEATURES}
+    named = [v.alias(c) for c, v in noise.items()]
+    churn = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("is_churn")
+    rows = spark.range(300).select(F.col("id").cast("string").alias("msno"), *named, churn).coalesce(2)
+    asked, plain = [], models.boosted_trees
+    monkeypatch.setattr(models, "boosted_trees", lambda **p: asked.append(p["n_estimators"]) or plain(**p))
+    # Every round is a little better, up to round 20.
+    bounds = lambda model, watched: [(0.5 + min(k, 20) / 100,) * 2 for k in range(model.getNumTrees)]
+    monkeypatch.setattr(models, "auc_bounds", bounds)
+    monkeypatch.setattr(models, "round_auc", lambda model, watched, two: [k / 100 for k in two])
+    kept = models.fit_boosted(rows, 2, n_estimators=24, max_depth=2)
+    assert asked == [4, 24] and kept.getNumTrees == 22
+    asked.clear()
+    models.fit_boosted(rows, 12, n_estimators=24, max_depth=2)
+    assert asked == [24]
+
+
+def test_many_users_are_dealt_evenly(spark, monkeypatch):
+    rows = spark.range(0, 4000, 1, 2).select(F.col("id").cast("string").alias("msno"))
+    assert preparation.dealt(rows) is rows
+    monkeypatch.setattr(preparation, "MANY_ROWS", 4000)
+    cores = spark.sparkContext.defaultParallelism
+    parts = preparation.dealt(rows).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == cores and max(r["count"] for r in parts) < 1.5 * 4000 / cores
+    monkeypatch.setattr(preparation, "ROWS_OF_A_TASK", 300)
+    whole = preparation.dealt(rows)
+    assert whole.rdd.getNumPartitions() == cores * -(-4000 // (cores * 300))
+    assert whole.exceptAll(rows).count() == rows.exceptAll(whole).count() == 0
