@@ -134,3 +134,9 @@ def test_many_users_are_dealt_evenly(spark, monkeypatch):
     whole = preparation.dealt(rows)
     assert whole.rdd.getNumPartitions() == cores * -(-4000 // (cores * 300))
     assert whole.exceptAll(rows).count() == rows.exceptAll(whole).count() == 0
+
+
+def test_labelled_users_of_a_large_table_are_broadcast_as_numbers(spark):
+    assert features.FEW_USERS >= 1_400_000
+    plan = _plan(features.gold_features(*_gold_inputs(spark), DAY))
+    assert plan.split("== Physical Plan ==")[1].count("BroadcastExchange HashedRelationBroadcastMode(List(input[0, bigint, ") == 3
